@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hablon.llm import canon, overlap
+from hablon.llm import canon, langid, mixing, overlap, packing
 from hablon.session import table
 
 
@@ -19,6 +19,18 @@ def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.overlap_report(table(spark, sf_dir, "test"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.relabel(table(spark, sf_dir, "bombo"), table(spark, sf_dir, "lang_samples")).select("row_id", "seg_no", "lang")
+
+
+def p4_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.row_languages(table(spark, sf_dir, "bombo"), table(spark, sf_dir, "lang_samples"))
+
+
+def p4_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "bombo"), table(spark, sf_dir, "lang_samples"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canon.copies(table(spark, sf_dir, "test"))
 
@@ -27,8 +39,24 @@ def p5_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canon.collapse(table(spark, sf_dir, "test")).select("row_id", "src", "tgt", "n_copies")
 
 
+def p7_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), table(spark, sf_dir, "containers"))
+
+
+def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.fill_report(p7_packed(spark, sf_dir))
+
+
+def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.share_report(p8_mixture(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_report, p5_found, p5_collapsed)}
+    return {f.__name__: f for f in (p1_found, p1_report, p4_found, p4_rows, p4_segments, p5_found, p5_collapsed, p7_packed, p7_report, p8_mixture, p8_shares)}
 
 
 _CANON = r"regexp_replace(lower(coalesce({c}, '')), '[^\p{{L}}\p{{N}}]+', '', 'g')"
