@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -39,6 +40,12 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver's JVM collect plans that are no longer referenced, so that their shuffle files go at once."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def drop_tables() -> None:
     """Remove every table that ``cut`` wrote in this process."""
     while _written:
