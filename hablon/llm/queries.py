@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hablon.llm import canon, langid, mixing, overlap, packing
+from hablon.llm import boilerplate, canon, langid, mixing, overlap, packing
 from hablon.session import table
 
 
@@ -19,6 +19,14 @@ def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.overlap_report(table(spark, sf_dir, "test"))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate.main_body(table(spark, sf_dir, "scraped_pages")).select("page_id", "paragraph_index")
+
+
+def p3_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate.classify(table(spark, sf_dir, "scraped_pages")).groupBy("role").agg(F.count("*").alias("paragraphs"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.relabel(table(spark, sf_dir, "bombo"), table(spark, sf_dir, "lang_samples")).select("row_id", "seg_no", "lang")
 
@@ -56,7 +64,7 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_report, p4_found, p4_rows, p4_segments, p5_found, p5_collapsed, p7_packed, p7_report, p8_mixture, p8_shares)}
+    return {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_roles, p4_found, p4_rows, p4_segments, p5_found, p5_collapsed, p7_packed, p7_report, p8_mixture, p8_shares)}
 
 
 _CANON = r"regexp_replace(lower(coalesce({c}, '')), '[^\p{{L}}\p{{N}}]+', '', 'g')"
