@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hablon.llm import boilerplate, canon, langid, mixing, overlap, packing
+from hablon.llm import boilerplate, canon, langid, mixing, overlap, packing, pii
 from hablon.session import table
 
 
@@ -63,8 +63,16 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.share_report(p8_mixture(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_spans(table(spark, sf_dir, "documents"))
+
+
+def p9_sanitised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.sanitise(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_roles, p4_found, p4_rows, p4_segments, p5_found, p5_collapsed, p7_packed, p7_report, p8_mixture, p8_shares)}
+    return {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_roles, p4_found, p4_rows, p4_segments, p5_found, p5_collapsed, p7_packed, p7_report, p8_mixture, p8_shares, p9_found, p9_sanitised)}
 
 
 _CANON = r"regexp_replace(lower(coalesce({c}, '')), '[^\p{{L}}\p{{N}}]+', '', 'g')"
