@@ -183,7 +183,8 @@ def mix(
         .agg(F.sort_array(F.collect_list(F.struct("at", "doc_id", "part"))).alias("parts"))
         .select("source", "block_no", F.col("parts.doc_id").alias("docs"), F.flatten("parts.part").alias("tokens"))
     )
-    return slots.join(whole, ["source", "block_no"]).select("shard", "slot", "source", "repeat_no", "block_no", F.size("tokens").alias("n_tokens"), "docs", "tokens")
+    # the size of a generated table is unknown to the planner, so a broadcast is ruled out
+    return slots.hint("merge").join(whole, ["source", "block_no"]).select("shard", "slot", "source", "repeat_no", "block_no", F.size("tokens").alias("n_tokens"), "docs", "tokens")
 
 
 def share_report(mixed: DataFrame, targets: DataFrame) -> DataFrame:
