@@ -45,14 +45,18 @@ def separator_of(file_name: Column) -> Column:
     return out
 
 
-def parse_record(raw: Column, sep: Column) -> tuple[Column, Column]:
-    """(quoting is right, array of field values) of one whole record.
+def pieces_of(raw: Column) -> Column:
+    """A record cut at its quotes."""
+    return F.split(F.translate(F.coalesce(raw, F.lit("")), MARK, "\u0002"), '"', -1)
 
-    The text is cut at its quotes: even pieces lie outside, odd ones inside. A piece between two quoted pieces is empty
-    (a doubled quote) or begins and ends with the separator; no outside piece holds a line break. Linear in the length.
+
+def parse_record(pieces: Column, n: Column, sep: Column) -> tuple[Column, Column]:
+    """(quoting is right, array of field values) of one whole record, from its pieces and their number.
+
+    Even pieces lie outside quotes, odd ones inside. A piece between two quoted pieces is empty (a doubled quote) or
+    begins and ends with the separator; no outside piece holds a line break. Both arguments must be columns of the
+    input, since expressions inside a lambda are evaluated for each element.
     """
-    pieces = F.split(F.translate(raw, MARK, "\u0002"), '"', -1)
-    n = F.size(pieces)
 
     def right(p: Column, i: Column) -> Column:
         inside = (i % 2) == 1
@@ -81,10 +85,11 @@ def examine(df: DataFrame, fields: tuple[Field, ...] = PAIR_FIELDS, file_col: st
     Columns of the input named ``values`` or ``errors`` are replaced.
     """
     keep = [c for c in df.columns if c not in ("values", "errors")]
-    sep = separator_of(F.col(file_col))
-    ok, parts = parse_record(F.coalesce(F.col(raw_col), F.lit("")), sep)
-    parsed = df.select(*keep, F.coalesce(ok, F.lit(False)).alias("__ok"), parts.alias("__parts"))
-    heads = df.where(F.col(no_col) == 1).select(F.col(file_col).alias("__file"), F.when(ok, parts).alias("__names"))
+    cut = df.select(*keep, pieces_of(F.col(raw_col)).alias("__pieces"), separator_of(F.col(file_col)).alias("__sep"))
+    cut = cut.select("*", F.size("__pieces").alias("__n"))
+    ok, parts = parse_record(F.col("__pieces"), F.col("__n"), F.col("__sep"))
+    parsed = cut.select(*keep, F.coalesce(ok, F.lit(False)).alias("__ok"), parts.alias("__parts"))
+    heads = cut.where(F.col(no_col) == 1).select(F.col(file_col).alias("__file"), F.when(ok, parts).alias("__names"))
     heads = heads.groupBy("__file").agg(F.first("__names", ignorenulls=True).alias("__names"))
     joined = parsed.where(F.col(no_col) != 1).join(heads, F.col(file_col) == F.col("__file"), "left")
     names = [f.name for f in fields]
