@@ -97,6 +97,26 @@ def split_sentences(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return parts.select("id", "sentence_no", "sentence", (done + skipped).cast("int").alias("base"))
 
 
+def _matches(r: Rule) -> Column:
+    """The matches of one rule in the column ``toks``."""
+    k = len(r.pattern)
+
+    def hit(i: Column) -> Column:
+        ok = F.lit(True)
+        for j, spec in enumerate(r.pattern):
+            ok = ok & spec.test(F.get("toks", i + j))
+        return ok
+
+    def item(i: Column) -> Column:
+        return F.struct(
+            F.lit(r.id).alias("rule"), F.lit(r.severity).alias("severity"), F.lit(r.message).alias("message"), F.array(*map(F.lit, r.suggestions)).alias("suggestions"),
+            F.get("toks", i)["start"].alias("char_start"), F.get("toks", i + k - 1)["end"].alias("char_end"),
+        )
+
+    starts = F.when(F.size("toks") >= k, F.filter(F.sequence(F.lit(0), F.size("toks") - k), hit)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, item)
+
+
 def check(df: DataFrame, id_col: str, text_col: str, rules: tuple[Rule, ...] = RULES, only: tuple[str, ...] = ()) -> DataFrame:
     """One row per match: ``id, rule, severity, message, suggestions, sentence_no, char_start, char_end, matched``.
 
@@ -104,21 +124,7 @@ def check(df: DataFrame, id_col: str, text_col: str, rules: tuple[Rule, ...] = R
     matches; ``only`` restricts the rules.
     """
     toks = split_sentences(df, id_col, text_col).select("id", "sentence_no", "sentence", "base", tokenize(F.col("sentence"), F.col("base")).alias("toks"))
-    found = []
-    for r in rules:
-        if only and r.id not in only:
-            continue
-        k = len(r.pattern)
-
-        def hit(i: Column, r: Rule = r) -> Column:
-            ok = F.lit(True)
-            for j, spec in enumerate(r.pattern):
-                ok = ok & spec.test(F.get("toks", i + j))
-            return ok
-
-        starts = F.when(F.size("toks") >= k, F.filter(F.sequence(F.lit(0), F.size("toks") - k), hit)).otherwise(F.array().cast("array<int>"))
-        item = lambda i, r=r, k=k: F.struct(F.lit(r.id).alias("rule"), F.lit(r.severity).alias("severity"), F.lit(r.message).alias("message"), F.array(*map(F.lit, r.suggestions)).alias("suggestions"), F.get("toks", i)["start"].alias("char_start"), F.get("toks", i + k - 1)["end"].alias("char_end"))
-        found.append(F.transform(starts, item))
+    found = [_matches(r) for r in rules if not only or r.id in only]
     out = toks.select("id", "sentence_no", "sentence", "base", F.inline(F.concat(*found)))
     return out.select("id", "rule", "severity", "message", "suggestions", "sentence_no", "char_start", "char_end", F.expr("substring(sentence, char_start - base + 1, char_end - char_start)").alias("matched"))
 
