@@ -193,7 +193,7 @@ def set_operations(spark, sf):
     """Intersection and difference of the texts of both sides, by distinct value."""
     p = pairs(spark, sf)
     a, b = p.select(F.lower("src").alias("t")), p.select(F.lower("tgt").alias("t"))
-    both, only = a.intersect(b), a.exceptAll(a.intersect(b)).distinct()
+    both, only = a.intersect(b), a.subtract(b)
     return both.select(F.lit("both").alias("kind"), "t").unionByName(only.select(F.lit("src").alias("kind"), "t")).groupBy("kind").agg(F.count("*").alias("n"))
 
 

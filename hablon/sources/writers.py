@@ -60,5 +60,5 @@ def rewrite(df: DataFrame, path: str, version: str, **options) -> str:
 
 def clipboard(df: DataFrame, cols: list[str], order: str, most: int = 10_000) -> str:
     """Selected rows as tab-separated text."""
-    rows = df.orderBy(order).limit(most).select(F.array_join(F.array(*[F.coalesce(F.col(c), F.lit("")) for c in cols]), "\t").alias("v")).collect()
+    rows = df.orderBy(order).limit(most).select(F.array_join(F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]), "\t").alias("v")).collect()
     return "\n".join(r.v for r in rows)
