@@ -198,7 +198,7 @@ def test_extraction(spark):
     assert [(r.book, r.chapter, r.verse, r.text) for r in got] == [("GEN", 1, 1, "the start"), ("GEN", 1, 2, "And")]
     links = '<h3><a href="https://x.example/a/">A</a></h3><h3><a href="https://x.example/category/b/">B</a><a href="https://y.example/c">C</a></h3><h3><a href="https://x.example/a/">A</a></h3>'
     got = extract.category_links(spark.createDataFrame([("k", 1, links)], "c string, n int, h string"), "h", "c", "n", "https://x.example", 9).collect()
-    assert [(r.category, r.url) for r in got] == [("k", "https://x.example/a/")]
+    assert [(r.c, r.url) for r in got] == [("k", "https://x.example/a/")]
 
 
 def test_hooks(spark):
