@@ -27,7 +27,7 @@ SAMPLE_ROWS = 50_000  # labelled rows the classifier is fitted on at most
 LONGEST_GRAM = 5
 SHORT_INSERT = 3  # words in another language that make no segment
 SWITCH, SWITCH_INSIDE = 4.0, 12.0  # cost of a change of language at a clause mark and elsewhere
-_PARTS = regex.compile(r"[\p{L}\p{M}\p{N}]+(?:['’\-][\p{L}\p{M}\p{N}]+)*|[,.;:!?¡¿\n\"“”()\[\]–—]")
+_PARTS = regex.compile(r"[\p{L}\p{M}\p{N}]+(?:['’\-][\p{L}\p{M}\p{N}]+)*|[,.;:!?¡¿\n]")
 _WORD = regex.compile(r"^[\p{L}\p{M}]")
 
 
