@@ -113,6 +113,9 @@ def test_numbering_and_zips(spark):
     df = spark.createDataFrame([(x,) for x in random.Random(1).sample(range(10**6), 500)], "k long")
     n = {r.k: r.line_no for r in keyed.numbered(df, "k").collect()}
     assert [n[k] for k in sorted(n)] == list(range(1, 501))
+    words = spark.createDataFrame([(f"w{i:05d}",) for i in range(3000)] + [(None,)], "k string")
+    assert {r.k: r.line_no for r in keyed.numbered(words, "k").collect()} == {None: 1} | {f"w{i:05d}": i + 2 for i in range(3000)}
+    assert keyed.numbered(words.limit(0), "k").count() == 0
     a, b = (spark.createDataFrame([(i + 1, f"{p}{i}") for i in range(m)], LINE) for p, m in (("a", 3), ("b", 5)))
     assert keyed.zip_truncate(a, b).count() == 3 and sorted(r.src for r in keyed.zip_pad(a, b).collect())[:2] == ["", ""]
 
