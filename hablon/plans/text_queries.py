@@ -170,6 +170,68 @@ dialect as (select * from l2 where word <> {fold('target')} and word not in (sel
 _GT = r"""[A-Za-záéíóúÁÉÍÓÚñÑ][A-Za-záéíóúÁÉÍÓÚñÑ''-]*|[.,!?;:"]"""
 
 
+def _phrases_sql(x: str) -> str:
+    """Ordered replacement ignoring case; the capital of a match is spelled out, since the patterns begin with a letter."""
+    for pattern, new in lexicon.PHRASES:
+        p = pattern.replace(r"\s", WS)
+        x = f"regexp_replace({x}, '{p[0].upper()}(?i:{p[1:]})', '{new[0].upper()}{new[1:]}', 'g')"
+        x = f"regexp_replace({x}, '(?i:{p})', '{new}', 'g')"
+    return x
+
+
+_WORDS = r"[\p{L}\p{N}_''-]+|[^\p{L}\p{N}_''-]+"
+_EDGE = r"(^|[^\p{L}\p{N}_])"
+
+
+def _replaced_sql(x: str, table: str, key: str) -> str:
+    new = f"{table}[{key}]"
+    capital = "upper(left(t, 1)) = left(t, 1) and lower(left(t, 1)) <> left(t, 1)"
+    return f"array_to_string(list_transform(regexp_extract_all({x}, '{_WORDS}'), lambda t: case when {new} is null then t when {capital} then upper(left({new}, 1)) || substr({new}, 2) else {new} end), '')"
+
+
+def _inversion_sql(x: str) -> str:
+    return rf"regexp_replace({x}, '(?i){_EDGE}((?:si|ang){WS}+(?:[\p{{L}}\p{{N}}_]|{WS})+?){WS}+ay{WS}+', '\1\2 ', 'g')"
+
+
+def _ba_sql(x: str, flags: str) -> str:
+    """Whole words; replaced twice, because neighbours share the mark between them."""
+    one = lambda y: rf"regexp_replace({y}, '{flags}{_EDGE}ba($|[^\p{{L}}\p{{N}}_])', '\1bala\2', 'g')"
+    return one(one(x))
+
+
+def _letters_sql(x: str, known: str) -> str:
+    low = "lower(t)"
+    new = low
+    for v in lexicon.VOWELS:
+        new = f"replace({new}, 'l{v}', 'r{v}')"
+    word = r"regexp_full_match(t, '[\p{L}\p{N}_''-]+') and length(t) >= 4"
+    capital = "upper(left(t, 1)) = left(t, 1) and lower(left(t, 1)) <> left(t, 1)"
+    return f"array_to_string(list_transform(regexp_extract_all({x}, '{_WORDS}'), lambda t: case when {word} and not list_contains({known}, {low}) then case when {capital} then upper(left({new}, 1)) || substr({new}, 2) else {new} end else t end), '')"
+
+
+def _spec_sql(spec: grammar.Spec, j: str) -> str:
+    tests = []
+    if spec.text:
+        tests.append(f"l[{j}] in ({', '.join(chr(39) + t + chr(39) for t in spec.text)})")
+    if spec.regex:
+        tests.append(f"regexp_matches(a[{j}], '(?i){spec.regex}')")
+    if spec.pos:
+        tests.append(f"p[{j}] = '{spec.pos}'")
+    both = "(" + " and ".join(tests) + ")"
+    return f"not {both}" if spec.negate else both
+
+
+def _rules_sql() -> str:
+    particles = ", ".join(f"'{x}'" for x in grammar.PARTICLES)
+    pos = f"case when w in ({particles}) then 'PARTICLE' when regexp_matches(w, '^(mag|nag|gin|gina|ma|na)[a-z]') then 'VERB' when ends_with(w, 'on') and length(w) > 3 then 'VERB' when ends_with(w, 'an') and length(w) > 3 then 'VERB_LOC' else 'NOUN' end"
+    rules = " union all ".join(
+        f"select row_id, '{r.id}' as rule, '{r.severity}' as severity, i from u where i + {len(r.pattern) - 1} <= len(a) and " + " and ".join(_spec_sql(s, f"i + {j}") for j, s in enumerate(r.pattern)) for r in grammar.RULES
+    )
+    return rf"""with s as (select row_id, unnest(string_split(regexp_replace({trim('src')}, '([.!?]){WS}+', '\1' || chr(1), 'g'), chr(1))) sent from bombo where src is not null),
+k as (select row_id, regexp_extract_all(sent, '{_GT}') a from s), k2 as (select row_id, a, list_transform(a, lambda w: lower(w)) l from k), k3 as (select row_id, a, l, list_transform(l, lambda w: {pos}) p from k2),
+u as (select row_id, a, l, p, unnest(range(1, len(a) + 1)) i from k3), hits as ({rules})"""
+
+
 def oracle_sql() -> dict[str, str]:
     joined = lambda c: f"md5(array_to_string({c}, chr(1)))"
     return {
@@ -191,6 +253,17 @@ def oracle_sql() -> dict[str, str]:
         "lexicon_spell_words": rf"""with {_DIALECT}, t as (select row_id, regexp_extract_all(src, '[\p{{L}}\p{{N}}_''-]+|[^\p{{L}}\p{{N}}_''-]+') a from bombo where src is not null),
 u as (select row_id, unnest(a) w, generate_subscripts(a, 1) i, a from t), x as (select row_id, w, coalesce(list_sum(list_transform(a[1:i - 1], lambda z: length(z))), 0) start from u where length(w) >= 2 and regexp_full_match(w, '[\p{{L}}\p{{N}}_''-]+') and not (upper(left(w, 1)) = left(w, 1) and lower(left(w, 1)) <> left(w, 1)))
 select x.w as word, target as suggestion, count(*) as n, cast(sum(start) as bigint) as starts from x join dialect on word = {fold('x.w')} where word <> 'bata' group by x.w, target""",
+        "lexicon_phrases": "select row_id, " + _phrases_sql("'Magandang umaga! Kumusta ka, hindi ko alam. ' || src") + " as out from bombo where src is not null",
+        "lexicon_ba": "select row_id, " + _ba_sql(_inversion_sql("'Ang bata ay nagkadto ba? ' || src"), "(?i)") + " as out from bombo where src is not null",
+        "lexicon_corrected": rf"""with {_DIALECT}, m as (select map(list(word order by word), list(target order by word)) mm from dialect),
+x as (select row_id, src, case when {trim('src')} = '' then src else {squeeze(_ba_sql(_inversion_sql(_replaced_sql(_phrases_sql('src'), 'mm', fold('t'))), '(?i)'))} end as out from bombo, m where src is not null),
+y as (select row_id, out, list_transform(regexp_extract_all(out, '[^\p{{Z}}\t\n\x0b\f\r\x{{85}}]+'), lambda t: regexp_replace(lower(t), '[^\p{{L}}\p{{N}}_]', '', 'g')) n, list_filter(list_transform(regexp_extract_all(src, '[^\p{{Z}}\t\n\x0b\f\r\x{{85}}]+'), lambda t: regexp_replace(lower(t), '[^\p{{L}}\p{{N}}_]', '', 'g')), lambda t: t <> '') o from x)
+select row_id, out, len(list_filter(n, lambda t: not list_contains(o, t))) as changed from y""",
+        "lexicon_converted": rf"""with {_DICT}, m as (select map(list(word order by word), list(target order by word)) mm, list(word) || list(target) || ['kumain', 'magkaon', {', '.join("'" + w + "'" for w in lexicon.PROTECTED)}] known from dict),
+v as (select row_id, src, mm, known, {_replaced_sql(_phrases_sql(squeeze('src')), "map(['kumain'], ['magkaon'])", 'lower(t)')} x from bombo, m where src is not null),
+w as (select row_id, src, known, {_ba_sql(_inversion_sql(_replaced_sql('x', 'mm', 'lower(t)')), '')} x from v)
+select row_id, case when {trim('src')} = '' then '' else {_letters_sql('x', 'known')} end as out from w""",
+        "grammar_rule_counts": _rules_sql() + " select rule, severity, count(*) as n from hits group by all",
         "grammar_stats": rf"""with t as (select row_id as id, list_transform(regexp_extract_all(src, '{_GT}'), lambda w: lower(w)) a from bombo where src is not null),
 p as (select *, list_filter(a, lambda w: w in ({', '.join("'" + x + "'" for x in grammar.PARTICLES)})) q from t)
 select id, len(a) as total, len(list_distinct(a)) as distinct_words, len(q) as particles, len(list_filter(a, lambda w: w not in ({', '.join("'" + x + "'" for x in grammar.PARTICLES)}) and (regexp_matches(w, '^(mag|nag|gin|gina|ma|na)[a-z]') or (length(w) > 3 and (ends_with(w, 'on') or ends_with(w, 'an')))))) as verbs from p""",
