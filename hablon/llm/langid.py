@@ -160,7 +160,8 @@ def segments(text: str | None, model: Model, cache: dict[str, np.ndarray]) -> li
 def identify(df: DataFrame, samples: DataFrame, id_col: str = "row_id", text_col: str = "src") -> DataFrame:
     """``row_id, seg_no, start_char, end_char, lang, confidence``: the one-language segments of each text.
 
-    Segments are numbered from 1; offsets are code points. NULL, empty and wordless texts have no row. The model is
+    Segments are numbered from 1; offsets are code points. NULL, empty and wordless texts and
+    rows without an id have no segment. The model is
     fitted on at most ``SAMPLE_ROWS`` labelled rows, in the order of their ids, and sent to the workers; its size is
     bounded by that number. Without labelled rows every language is equally likely.
     """
@@ -174,7 +175,7 @@ def identify(df: DataFrame, samples: DataFrame, id_col: str = "row_id", text_col
             out = [(i, n + 1, *seg) for i, text in zip(batch["rid"], batch["text"]) for n, seg in enumerate(segments(text, shared.value, cache))]
             yield pd.DataFrame(out, columns=["row_id", "seg_no", "start_char", "end_char", "lang", "confidence"])
 
-    return df.select(F.col(id_col).alias("rid"), F.col(text_col).alias("text")).mapInPandas(run, "row_id long, seg_no int, start_char int, end_char int, lang string, confidence double")
+    return df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("rid"), F.col(text_col).alias("text")).mapInPandas(run, "row_id long, seg_no int, start_char int, end_char int, lang string, confidence double")
 
 
 def relabel(df: DataFrame, samples: DataFrame, id_col: str = "row_id", text_col: str = "src", label_col: str = "lang_label") -> DataFrame:

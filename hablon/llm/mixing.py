@@ -117,14 +117,14 @@ def mix(
     The texts of each source, in a fixed order, form one stream of tokens that is cut into blocks (the last one of a
     source may be short). The mixture is the largest in which every source reaches its share within its repeats.
     ``docs`` lists the texts a block is made of. Sources without tokens, or with a NULL or non-positive share or repeat
-    count, get no slot, and the others keep their proportions. NULL and empty texts have no tokens. ``targets`` is a
+    count, get no slot, and the others keep their proportions. NULL and empty texts have no tokens; rows without an id or source are left out. ``targets`` is a
     configuration of a few rows.
     """
     spark = df.sparkSession
     schema = "shard int, slot long, source string, repeat_no int, block_no long, n_tokens int, docs array<bigint>, tokens array<int>"
     plan = [(r.source, float(r.target_share), int(r.max_repeats)) for r in targets.collect() if r.source is not None and r.target_share and r.max_repeats]
     names = [p[0] for p in plan]
-    texts = df.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("text")).where(F.col("source").isin(names))
+    texts = df.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("text")).where(F.col("source").isin(names) & F.col("doc_id").isNotNull())
     sizes = cut(token_counts(texts, "text", ["doc_id", "source"], ranks))
     seen = {r.source: (r.tokens, r.n) for r in sizes.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n")).collect()}
     blocks = [-(-seen.get(s, (0, 0))[0] // block) for s in names]

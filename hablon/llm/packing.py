@@ -73,7 +73,7 @@ def _round(items: DataFrame, round_no: int, shards: int) -> DataFrame:
 def pack(df: DataFrame, containers: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: str = RANKS) -> DataFrame:
     """One row per piece of a text and container kind: where the piece lies and how full its container is.
 
-    A text is divided only if it alone exceeds the capacity, into full containers and one remainder. NULL and empty
+    A text is divided only if it alone exceeds the capacity, into full containers and one remainder. Rows without an id are left out. NULL and empty
     texts are pieces of size 0 in a container of their shard. Texts are packed in shards of about ``SHARD_ITEMS``;
     containers that stay below ``FULL`` are emptied and their items packed again in fewer shards. ``containers`` is a
     configuration of a few rows; rows with a NULL or non-positive capacity are skipped. Empty tables give no rows.
@@ -82,7 +82,7 @@ def pack(df: DataFrame, containers: DataFrame, id_col: str = "doc_id", text_col:
     spark = df.sparkSession
     if not kinds:
         return spark.createDataFrame([], _PACKED)
-    sizes = cut(token_counts(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text", ["doc_id"], ranks))
+    sizes = cut(token_counts(df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text", ["doc_id"], ranks))
     shards = max(1, -(-sizes.count() // SHARD_ITEMS))
     options = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(int(c)).alias("capacity")) for k, c in kinds])
     pieces = (

@@ -267,7 +267,8 @@ def redact(text: str | None, spans: list[tuple[int, int, str]]) -> str | None:
 
 
 def personal_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, start_char, end_char, kind``; offsets are code points, ends exclusive. NULL and empty texts have none."""
+    """``doc_id, start_char, end_char, kind``; offsets are code points, ends exclusive. NULL and empty texts have
+    none, rows without an id are left out."""
     model = df.sparkSession.sparkContext.broadcast(learn(df, text_col))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -275,11 +276,12 @@ def personal_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             rows = [(i, *s) for i, text in zip(batch["rid"], batch["body"]) for s in find(text, model.value)]
             yield pd.DataFrame(rows, columns=["doc_id", "start_char", "end_char", "kind"])
 
-    return df.select(F.col(id_col).alias("rid"), F.col(text_col).alias("body")).mapInPandas(run, "doc_id long, start_char long, end_char long, kind string")
+    return df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("rid"), F.col(text_col).alias("body")).mapInPandas(run, "doc_id long, start_char long, end_char long, kind string")
 
 
 def sanitise(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, text, n_replaced``: each text with placeholders of their types, otherwise unchanged."""
+    """``doc_id, text, n_replaced``: each text with placeholders of their types, otherwise unchanged. Rows without an id are
+    left out."""
     model = df.sparkSession.sparkContext.broadcast(learn(df, text_col))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -287,4 +289,4 @@ def sanitise(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             spans = [find(text, model.value) for text in batch["body"]]
             yield pd.DataFrame({"doc_id": batch["rid"], "text": [redact(t, s) for t, s in zip(batch["body"], spans)], "n_replaced": [len(s) for s in spans]})
 
-    return df.select(F.col(id_col).alias("rid"), F.col(text_col).alias("body")).mapInPandas(run, "doc_id long, text string, n_replaced long")
+    return df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("rid"), F.col(text_col).alias("body")).mapInPandas(run, "doc_id long, text string, n_replaced long")

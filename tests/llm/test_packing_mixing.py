@@ -14,7 +14,7 @@ KINDS = "container_kind string, capacity_tokens int"
 def docs(spark, n=120, seed=1):
     rng = random.Random(seed)
     rows = [(i, " ".join(rng.choice(["balay", "suba", "kag", "isda", "merkado"]) for _ in range(rng.randint(0, 150))), rng.choice("aab"), 7) for i in range(n)]
-    return spark.createDataFrame([*rows, (n, None, "a", 7), (n + 1, "", "b", 7)], DOCS)
+    return spark.createDataFrame([*rows, (n, None, "a", 7), (n + 1, "", "b", 7), (None, "balay", "a", 7), (n + 2, "suba", None, None)], DOCS)
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -30,7 +30,7 @@ def test_every_token_is_packed_once(spark):
     d = docs(spark)
     out = packing.pack(d, spark.createDataFrame([("s", 64), ("l", 512), ("no", None), ("zero", 0)], KINDS)).collect()
     assert {r.container_kind for r in out} == {"s", "l"}
-    sizes = {r.doc_id: len(encode(r.text)) for r in d.collect()}
+    sizes = {r.doc_id: len(encode(r.text)) for r in d.collect() if r.doc_id is not None}
     for kind, capacity in (("s", 64), ("l", 512)):
         fill, parts = Counter(), defaultdict(list)
         for r in out:
@@ -49,7 +49,7 @@ def test_second_round_keeps_all_items(spark, monkeypatch):
     monkeypatch.setattr(packing, "SHARD_ITEMS", 20)
     d = docs(spark)
     out = packing.pack(d, spark.createDataFrame([("s", 300)], KINDS)).collect()
-    assert Counter(r.doc_id for r in out if r.piece_no == 0) == Counter(r.doc_id for r in d.collect())
+    assert Counter(r.doc_id for r in out if r.piece_no == 0) == Counter(r.doc_id for r in d.collect() if r.doc_id is not None)
     fill = Counter()
     for r in out:
         fill[r.container_id] += r.n_tokens
@@ -91,7 +91,7 @@ def test_mixture_blocks_and_shares(spark):
     rows = mixed.collect()
     assert sorted((r.shard, r.slot) for r in rows) == sorted({(r.shard, r.slot) for r in rows})
     streams = defaultdict(list)
-    texts = {r.doc_id: (r.source, r.text) for r in d.collect()}
+    texts = {r.doc_id: (r.source, r.text) for r in d.collect() if r.doc_id is not None}
     uses = Counter((r.source, r.block_no) for r in rows)
     assert max(v for (s, _), v in uses.items() if s == "a") == 1 and max(uses.values()) <= 3
     first = {}
