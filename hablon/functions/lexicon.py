@@ -56,7 +56,7 @@ def dialect_map(words: DataFrame, base: str, target: str, order: str) -> DataFra
     return last.where(F.col("word") != strip_diacritics("target")).join(vocabulary, "word", "left_anti")
 
 
-def as_map(d: DataFrame, limit: int = 100_000) -> Column:
+def as_map(d: DataFrame, limit: int = 5_000) -> Column:
     """A small dictionary as a map literal; refuses one of more than ``limit`` words, which is to be joined instead."""
     rows = d.limit(limit + 1).collect()
     if len(rows) > limit:
@@ -82,6 +82,16 @@ def replace_words(x: Column | str, mapping: Column, accents: bool = True) -> Col
     return F.array_join(F.transform(F.regexp_extract_all(x, F.lit(PARTS), 0), one), "")
 
 
+def replace_by_join(df: DataFrame, id_col: str, text_col: str, dictionary_rows: DataFrame, accents: bool = True) -> DataFrame:
+    """``df`` with known words of a text replaced, for dictionaries too large for a map literal: ``word, target`` rows are
+    joined with the words of all texts. Ids must be unique; texts without words stay as they are."""
+    parts = df.select(F.col(id_col).alias("__id"), F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(PARTS), 0)).alias("__pos", "__t"))
+    found = parts.withColumn("word", strip_diacritics("__t") if accents else F.lower("__t")).join(dictionary_rows.select("word", "target"), "word", "left")
+    new = F.when(F.col("target").isNull(), F.col("__t")).otherwise(_capital(F.col("target"), F.col("__t")))
+    whole = found.groupBy("__id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__pos", new.alias("n")))), lambda x: x["n"]), "").alias("__new"))
+    return df.join(whole, F.col(id_col) == F.col("__id"), "left").withColumn(text_col, F.coalesce("__new", F.col(text_col))).select(*df.columns)
+
+
 def replace_phrases(x: Column | str, phrases: tuple[tuple[str, str], ...] = PHRASES) -> Column:
     """Ordered replacement ignoring case; a match that begins with a capital gets one."""
     x = F.col(x) if isinstance(x, str) else x

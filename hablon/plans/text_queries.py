@@ -118,6 +118,11 @@ def lexicon_corrected(spark, sf):
     return done.select("row_id", "out", F.size(F.filter(lexicon.changed_tokens(F.col("src"), F.col("out")), lambda t: t["changed"])).cast("long").alias("changed"))
 
 
+def lexicon_replaced_by_join(spark, sf):
+    b = table(spark, sf, "bombo").where("src is not null").select("row_id", "src")
+    return lexicon.replace_by_join(b, "row_id", "src", lexicon_dialect_map(spark, sf))
+
+
 def lexicon_converted(spark, sf):
     b = table(spark, sf, "bombo").where("src is not null")
     d = _maps(spark, sf)[1]
@@ -149,7 +154,7 @@ def grammar_stats(spark, sf):
 QUERIES = (
     text_measures, text_markup, text_cleaners, text_folded, text_sentences, text_dialogue, text_marked_language, text_slugs, text_replaced, extract_article_corpus,
     extract_category_totals, extract_paragraphs, extract_new_urls, lexicon_dictionary, lexicon_dialect_map, lexicon_spell_words, lexicon_phrases, lexicon_corrected,
-    lexicon_converted, lexicon_ba, grammar_matches, grammar_rule_counts, grammar_single_words, grammar_stats,
+    lexicon_replaced_by_join, lexicon_converted, lexicon_ba, grammar_matches, grammar_rule_counts, grammar_single_words, grammar_stats,
 )
 
 
@@ -259,6 +264,7 @@ select x.w as word, target as suggestion, count(*) as n, cast(sum(start) as bigi
 x as (select row_id, src, case when {trim('src')} = '' then src else {squeeze(_ba_sql(_inversion_sql(_replaced_sql(_phrases_sql('src'), 'mm', fold('t'))), '(?i)'))} end as out from bombo, m where src is not null),
 y as (select row_id, out, list_transform(regexp_extract_all(out, '[^\p{{Z}}\t\n\x0b\f\r\x{{85}}]+'), lambda t: regexp_replace(lower(t), '[^\p{{L}}\p{{N}}_]', '', 'g')) n, list_filter(list_transform(regexp_extract_all(src, '[^\p{{Z}}\t\n\x0b\f\r\x{{85}}]+'), lambda t: regexp_replace(lower(t), '[^\p{{L}}\p{{N}}_]', '', 'g')), lambda t: t <> '') o from x)
 select row_id, out, len(list_filter(n, lambda t: not list_contains(o, t))) as changed from y""",
+        "lexicon_replaced_by_join": f"with {_DIALECT}, m as (select map(list(word order by word), list(target order by word)) mm from dialect) select row_id, {_replaced_sql('src', 'mm', fold('t'))} as src from bombo, m where src is not null",
         "lexicon_converted": rf"""with {_DICT}, m as (select map(list(word order by word), list(target order by word)) mm, list(word) || list(target) || ['kumain', 'magkaon', {', '.join("'" + w + "'" for w in lexicon.PROTECTED)}] known from dict),
 v as (select row_id, src, mm, known, {_replaced_sql(_phrases_sql(squeeze('src')), "map(['kumain'], ['magkaon'])", 'lower(t)')} x from bombo, m where src is not null),
 w as (select row_id, src, known, {_ba_sql(_inversion_sql(_replaced_sql('x', 'mm', 'lower(t)')), '')} x from v)

@@ -154,6 +154,11 @@ def test_lexicon(spark):
     assert got == {"bahay": "balay", "suba": "ang daan"}
     m = lexicon.as_map(lexicon.dialect_map(d, "b", "t", "o"))
     assert one(spark, lambda x: lexicon.replace_words(x, m), "Bahay, bahay-x sa BAHAY!") == "Balay, bahay-x sa Balay!"
+    texts = spark.createDataFrame([(1, "Bahay, bahay-x sa BAHAY!"), (2, ""), (3, None)], "i int, t string")
+    by_join = lexicon.replace_by_join(texts, "i", "t", lexicon.dialect_map(d, "b", "t", "o"))
+    assert [r.t for r in by_join.orderBy("i").collect()] == ["Balay, bahay-x sa Balay!", "", None]
+    with pytest.raises(ValueError):
+        lexicon.as_map(lexicon.dialect_map(d, "b", "t", "o"), 1)
     assert one(spark, lexicon.replace_phrases, "Kumusta  ka? salamat po") == "Kamusta ka? salamat gid"
     assert one(spark, lambda x: lexicon.drop_inversion(F.col(x)), "Ang bata ay natulog") == "Ang bata natulog"
     verbs = F.create_map(F.lit("matutulog"), F.lit("magturog"))
