@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hablon.plans.workers import prepared
+
 
 def translate(df: DataFrame, factory: Callable[[], Callable[[list[str]], list[str]]], col: str = "text", out: str = "translated", batch: int = 32) -> DataFrame:
     """``df`` with a translated column. Blank text passes through; a batch that fails is tried line by line, a line that
@@ -35,7 +37,7 @@ def translate(df: DataFrame, factory: Callable[[], Callable[[list[str]], list[st
             yield rows.assign(**{out: done})
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != out)
-    return df.drop(out).mapInPandas(run, f"{fields}, `{out}` string")
+    return prepared(df).drop(out).mapInPandas(run, f"{fields}, `{out}` string")
 
 
 def annotate(df: DataFrame, factory: Callable[[], Callable[[str], str]], col: str, out: str) -> DataFrame:
@@ -47,7 +49,7 @@ def annotate(df: DataFrame, factory: Callable[[], Callable[[str], str]], col: st
             yield rows.assign(**{out: [tool(t) if t is not None else None for t in rows[col]]})
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != out)
-    return df.drop(out).mapInPandas(run, f"{fields}, `{out}` string")
+    return prepared(df).drop(out).mapInPandas(run, f"{fields}, `{out}` string")
 
 
 def grammar_issues(df: DataFrame, factory, col: str, custom: list[str], chars: int = 10_000, most: int = 3) -> DataFrame:
@@ -82,7 +84,7 @@ def recognise_pages(files: DataFrame, factory: Callable[[], Callable[[bytes], It
                 for n, text in enumerate(read(bytes(content)), 1):
                     yield pd.DataFrame({"path": [path], "page": [n], "text": [text]})
 
-    return files.select("path", "content").mapInPandas(run, "path string, page int, text string")
+    return prepared(files).select("path", "content").mapInPandas(run, "path string, page int, text string")
 
 
 def pieces(df: DataFrame, model_file: str, col: str = "text", out: str = "pieces") -> DataFrame:
@@ -96,4 +98,4 @@ def pieces(df: DataFrame, model_file: str, col: str = "text", out: str = "pieces
             yield rows.assign(**{out: model.encode([t or "" for t in rows[col]], out_type=str, num_threads=1)})
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != out)
-    return df.drop(out).mapInPandas(run, f"{fields}, `{out}` array<string>")
+    return prepared(df).drop(out).mapInPandas(run, f"{fields}, `{out}` array<string>")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hablon.operators.extract import marked_language, sentence_rows
+from hablon.plans.workers import prepared
 
 
 def article_stream(spark: SparkSession, path: str, files_per_trigger: int = 100) -> DataFrame:
@@ -39,7 +40,7 @@ def _first_article(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterat
 
 def first_article_sentences(articles: DataFrame) -> DataFrame:
     """Sentences of the first article that has them, repeats inside that article included."""
-    s = sentence_rows(articles, "text", "url", "category", "ts")
+    s = sentence_rows(prepared(articles), "text", "url", "category", "ts")
     return s.groupBy("sentence").applyInPandasWithState(_first_article, "url string, category string, pos int, sentence string", "owner string", "append", "NoTimeout")
 
 
