@@ -13,6 +13,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hablon.plans.workers import prepared
+
 CODES = ("hil", "ceb", "tl", "en", "ilo", "es")
 # fixed values: spellings of labels, after lower-casing and cutting a region suffix
 SPELLINGS = {
@@ -175,7 +177,7 @@ def identify(df: DataFrame, samples: DataFrame, id_col: str = "row_id", text_col
             out = [(i, n + 1, *seg) for i, text in zip(batch["rid"], batch["text"]) for n, seg in enumerate(segments(text, shared.value, cache))]
             yield pd.DataFrame(out, columns=["row_id", "seg_no", "start_char", "end_char", "lang", "confidence"])
 
-    return df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("rid"), F.col(text_col).alias("text")).mapInPandas(run, "row_id long, seg_no int, start_char int, end_char int, lang string, confidence double")
+    return prepared(df).where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("rid"), F.col(text_col).alias("text")).mapInPandas(run, "row_id long, seg_no int, start_char int, end_char int, lang string, confidence double")
 
 
 def relabel(df: DataFrame, samples: DataFrame, id_col: str = "row_id", text_col: str = "src", label_col: str = "lang_label") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from hablon.llm.tokens import RANKS, encode, token_counts
 from hablon.plans.lineage import cut
+from hablon.plans.workers import prepared
 
 BLOCK = 256  # tokens of a block
 MAX_SHARDS = 4096  # the table of shard counts has at most so many rows
@@ -153,7 +154,7 @@ def mix(
                     yield pd.DataFrame({"shard": np.int32(shard), "slot": order[at : at + n], "source": name, "repeat_no": repeat.astype(np.int32), "block_no": picked})
                     at += n
 
-    slots = spark.range(len(counts)).mapInPandas(draw, "shard int, slot long, source string, repeat_no int, block_no long")
+    slots = prepared(spark.range(len(counts))).mapInPandas(draw, "shard int, slot long, source string, repeat_no int, block_no long")
 
     def used(source: str, numbers: np.ndarray) -> np.ndarray:
         s = names.index(source)

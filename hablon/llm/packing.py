@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hablon.llm.tokens import RANKS, token_counts
 from hablon.plans.lineage import cut
+from hablon.plans.workers import prepared
 
 SHARD_ITEMS = 20_000  # items that one task packs
 FULL = 0.99  # containers filled less are opened again in the second round
@@ -67,7 +68,7 @@ def _pack_shard(key: tuple, rows: pd.DataFrame, round_no: int) -> pd.DataFrame:
 
 def _round(items: DataFrame, round_no: int, shards: int) -> DataFrame:
     placed = items.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece_no", F.lit(round_no)), F.lit(shards)).cast("int"))
-    return placed.groupBy("container_kind", "shard").applyInPandas(lambda key, rows: _pack_shard(key, rows, round_no), _PACKED)
+    return prepared(placed).groupBy("container_kind", "shard").applyInPandas(lambda key, rows: _pack_shard(key, rows, round_no), _PACKED)
 
 
 def pack(df: DataFrame, containers: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: str = RANKS) -> DataFrame:

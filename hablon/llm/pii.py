@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hablon.plans.workers import prepared
+
 DISCLOSURE = 2.5  # information (nats) beyond which a first name is taken to disclose a person
 ENDING_DISCLOSURE = 0.7  # the same for endings of family names
 LEAST_SEEN = 3  # seeds that a term needs at least
@@ -140,7 +142,7 @@ def statistics(df: DataFrame, text_col: str) -> DataFrame:
                 total = Counter()
         yield pd.DataFrame([(r, t, n) for (r, t), n in total.items()], columns=["role", "term", "n"])
 
-    return df.select(text_col).mapInPandas(run, "role string, term string, n long").groupBy("role", "term").agg(F.sum("n").alias("n"))
+    return prepared(df).select(text_col).mapInPandas(run, "role string, term string, n long").groupBy("role", "term").agg(F.sum("n").alias("n"))
 
 
 def learn(df: DataFrame, text_col: str = "text") -> Model:

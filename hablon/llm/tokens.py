@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from hablon.plans.workers import prepared
+
 RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # fixed value: the public pre-split pattern of the rank files
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -53,4 +55,4 @@ def token_counts(df: DataFrame, text_col: str, keep: list[str], path: str = RANK
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(n)], [*keep, "n_tokens"])
 
     fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    return df.select(*keep, text_col).mapInArrow(run, f"{fields}, n_tokens long")
+    return prepared(df).select(*keep, text_col).mapInArrow(run, f"{fields}, n_tokens long")
