@@ -6,7 +6,7 @@ corpora give a row of zeros. Columns beyond these are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hablon.functions.text import char_count, html_tags, pytrim, tokens
@@ -102,7 +102,9 @@ def flagged(pairs: DataFrame, ratio: tuple[float, float] = RATIO, limits: tuple[
     """``line_no, src, tgt, issues`` of flagged pairs; repeated pairs are flagged from their second line on, blank pairs
     included. Issues are sorted and joined by ``|``."""
     f = pair_features(pairs, ratio, limits)
-    again = F.row_number().over(Window.partitionBy("s", "t").orderBy("line_no")) > 1
+    firsts = f.groupBy("s", "t").agg(F.min("line_no").alias("__first")).select("__first")  # joined by line, not by text
+    f = f.join(firsts, F.col("line_no") == F.col("__first"), "left")
+    again = F.col("__first").isNull()
     names = {
         "duplicate": again, "long": F.col("long"), "ratio": F.col("ratio_issue"), "short": F.col("short"),
         "src_empty": F.col("s") == "", "tgt_empty": F.col("t") == "",

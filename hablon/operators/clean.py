@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hablon.functions.text import TAG, strip_html, token_count
@@ -26,7 +26,7 @@ def label(df: DataFrame, cols: list[str], order: str = "line_no", max_tokens: in
     """``df`` with cleaned columns ``c__clean`` and ``dropped_by`` (the first step that drops the row, or NULL).
 
     NULL counts as empty text. The ratio step needs two columns and compares the first two. Of equal rows the first
-    survivor of the earlier steps stays; rows that become equal only by removing markup stay. One shuffle in all.
+    survivor of the earlier steps stays; rows that become equal only by removing markup stay. The order column is unique.
     """
     text = [F.coalesce(F.col(c), F.lit("")) for c in cols]
     counts = [token_count(t) for t in text]
@@ -34,19 +34,21 @@ def label(df: DataFrame, cols: list[str], order: str = "line_no", max_tokens: in
     if len(cols) >= 2:
         r = counts[0] / F.greatest(counts[1], F.lit(1))
         early = early.when((r < ratio[0]) | (r > ratio[1]), "ratio")
-    first = df.withColumn("__early", early)
-    rank = F.row_number().over(Window.partitionBy(*[F.coalesce(F.col(c), F.lit("")) for c in cols], F.col("__early").isNull()).orderBy(order))
+    marked = df.withColumn("__early", early)
+    keys = [F.coalesce(F.col(c), F.lit("")).alias(f"__{i}") for i, c in enumerate(cols)]
+    # the first survivor of each group of equal rows; the join is on the unique order, so that a large group is no hot key
+    firsts = marked.where("__early is null").groupBy(*keys).agg(F.min(order).alias("__first")).select("__first")
     cleaned = {f"{c}__clean": strip_html(F.coalesce(F.col(c), F.lit(""))) for c in cols}
-    out = first.withColumn("__rank", rank).withColumns(cleaned)
+    out = marked.join(firsts, F.col(order) == F.col("__first"), "left").withColumns(cleaned)
     kept = [F.col(f"{c}__clean") for c in cols]
-    late = F.coalesce("__early", F.when(F.col("__rank") > 1, "duplicate"))
+    late = F.coalesce("__early", F.when(F.col("__first").isNull(), "duplicate"))
     letters = F.lit(True)
     for k in kept:
         letters = letters & k.rlike(LETTER)
     late = F.coalesce(late, F.when(~letters, "punctuation"))
     for name, drops in EXTRA.items():
         late = F.coalesce(late, F.when(drops(kept), name))
-    return out.withColumn("dropped_by", late).drop("__early", "__rank")
+    return out.withColumn("dropped_by", late).drop("__early", "__first")
 
 
 def clean(df: DataFrame, cols: list[str], **options) -> DataFrame:

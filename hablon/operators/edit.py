@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hablon.operators.keyed import numbered
+
 POS = "position"
 
 
@@ -97,8 +99,8 @@ def next_position(rows: DataFrame, dataset: str) -> DataFrame:
 def import_rows(rows: DataFrame, new: DataFrame, dataset: str, order: str) -> DataFrame:
     """New rows appended to their datasets after the last position, in their own order."""
     start = next_position(rows, dataset)
-    placed = new.withColumn("__n", F.row_number().over(Window.partitionBy(dataset).orderBy(order)) - 1).join(start, dataset, "left")
-    placed = placed.withColumn(POS, (F.coalesce("next", F.lit(0)) + F.col("__n")).cast(rows.schema[POS].dataType))
+    placed = numbered(new.drop("line_no"), order, dataset).join(start, dataset, "left")
+    placed = placed.withColumn(POS, (F.coalesce("next", F.lit(0)) + F.col("line_no") - 1).cast(rows.schema[POS].dataType))
     return rows.unionByName(placed.select(*rows.columns))
 
 

@@ -11,22 +11,26 @@ SAMPLE = 6400  # keys about which the bounds of the ranges are guessed; they dec
 
 
 def numbered(df: DataFrame, order: str, *partition: str) -> DataFrame:
-    """``line_no`` by order within a partition; without a partition the table is numbered by ranges, not in one task.
+    """``line_no`` from 1 by order, within a partition or over the whole table.
 
-    The bounds of the ranges are constants of the plan, so that counting and numbering see the same ranges. NULL keys
-    come first; the order among equal keys is open.
+    Ranges of the order key are counted and numbered side by side, so that neither the table nor a partition that holds
+    much of it is in one task. The bounds of the ranges are constants of the plan, so that counting and numbering see the
+    same ranges. NULL keys come first, NULL partitions are one partition; the order among equal keys is open.
     """
-    if partition:
-        return df.withColumn("line_no", F.row_number().over(Window.partitionBy(*partition).orderBy(order)))
     rows = df.count()
     seen = sorted(r[0] for r in df.select(order).where(F.col(order).isNotNull()).sample(min(1.0, SAMPLE / max(rows, 1)), 7).limit(4 * SAMPLE).collect())
     bounds = sorted({seen[i * len(seen) // RANGES] for i in range(1, RANGES)}) if seen else []
     at = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col("__k"))) if bounds else F.lit(0)
     ranged = df.withColumn("__k", F.col(order)).withColumn("__p", F.when(F.col("__k").isNull(), 0).otherwise(at))
-    sums = ranged.groupBy("__p").agg(F.count("*").alias("__n"))  # a row per range
-    before = sums.select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__b"))
-    inside = F.row_number().over(Window.partitionBy("__p").orderBy(order))
-    return ranged.withColumn("__r", inside).join(F.broadcast(before), "__p").withColumn("line_no", F.col("__b") + F.col("__r")).drop("__p", "__r", "__b", "__k")
+    keys = [F.col(c).alias(f"__{i}") for i, c in enumerate(partition)]
+    names = [f"__{i}" for i in range(len(partition))]
+    sums = ranged.groupBy(*keys, F.col("__p").alias("__q")).agg(F.count("*").alias("__n"))  # at most RANGES rows per partition
+    before = sums.select(*names, "__q", (F.sum("__n").over(Window.partitionBy(*names).orderBy("__q")) - F.col("__n")).alias("__b"))
+    inside = ranged.withColumn("__r", F.row_number().over(Window.partitionBy(*partition, "__p").orderBy(order)))
+    same = F.col("__p") == F.col("__q")
+    for c, n in zip(partition, names):
+        same = same & inside[c].eqNullSafe(before[n])
+    return inside.join(before if partition else F.broadcast(before), same).withColumn("line_no", F.col("__b") + F.col("__r")).select(*[inside[c] for c in df.columns if c != "line_no"], "line_no")
 
 
 def zip_truncate(first: DataFrame, second: DataFrame, *keys: str) -> DataFrame:

@@ -116,6 +116,11 @@ def test_numbering_and_zips(spark):
     words = spark.createDataFrame([(f"w{i:05d}",) for i in range(3000)] + [(None,)], "k string")
     assert {r.k: r.line_no for r in keyed.numbered(words, "k").collect()} == {None: 1} | {f"w{i:05d}": i + 2 for i in range(3000)}
     assert keyed.numbered(words.limit(0), "k").count() == 0
+    parts = spark.createDataFrame([(i, None if i % 7 == 0 else f"g{min(i % 9, 2)}") for i in range(2000)], "k long, g string")
+    got = {}
+    for r in keyed.numbered(parts, "k", "g").collect():
+        got.setdefault(r.g, []).append((r.k, r.line_no))
+    assert len(got) == 4 and all([n for _, n in sorted(v)] == list(range(1, len(v) + 1)) for v in got.values())
     a, b = (spark.createDataFrame([(i + 1, f"{p}{i}") for i in range(m)], LINE) for p, m in (("a", 3), ("b", 5)))
     assert keyed.zip_truncate(a, b).count() == 3 and sorted(r.src for r in keyed.zip_pad(a, b).collect())[:2] == ["", ""]
 
