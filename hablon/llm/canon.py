@@ -49,11 +49,11 @@ def collapse(df: DataFrame, id_col: str = "row_id", first: str = "src", second:
     Result: every column of ``df`` for the row with the smallest id of each group, and ``n_copies``. NULL fields count
     as empty, so records with two empty fields form one group; an empty table gives an empty result. A second hash in
     the grouping key separates records whose 128-bit keys collide. A column of the input named ``n_copies`` is
-    replaced. Ids must be unique.
+    replaced. A row repeated with its id counts as a copy; rows without an id are copies that never represent a group.
     """
     groups = _partial(_salted(keyed(df, id_col, first, second))).groupBy("k", "x").agg(F.min("least").alias("__rep"), F.sum("n").alias("__n"))
     rest = [c for c in df.columns if c != "n_copies"]
-    return df.select(*[df[c] for c in rest]).join(groups.select("__rep", "__n"), F.col(id_col) == F.col("__rep")).select(*rest, F.col("__n").alias("n_copies"))
+    return df.select(*[df[c] for c in rest]).join(groups.select("__rep", "__n"), F.col(id_col) == F.col("__rep")).select(*rest, F.col("__n").alias("n_copies")).dropDuplicates([id_col])
 
 
 def copies(df: DataFrame, id_col: str = "row_id", first: str = "src", second: str = "tgt") -> DataFrame:

@@ -17,6 +17,12 @@ def test_collapse_keeps_one_row_and_counts(spark):
     assert got == {2: 3, 1: 1, 3: 2, 4: 2, 6: 1}
 
 
+def test_rows_repeated_with_their_ids(spark):
+    df = spark.createDataFrame([ROWS[0], ROWS[0], (None, "Hello world", "ako", "z")], SCHEMA)
+    assert [(r.row_id, r.n_copies) for r in canon.collapse(df).collect()] == [(5, 3)]
+    assert canon.copies(df).count() == 0
+
+
 def test_empty(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert canon.copies(empty).count() == 0 and canon.collapse(empty).count() == 0
