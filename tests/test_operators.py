@@ -1,6 +1,7 @@
 import math
 import random
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -228,5 +229,9 @@ def test_hooks(spark):
     checker = lambda: lambda t: [(0, 3, "m", ["x", "y", "z", "q"]), (4, 7, "n", [])]
     got = models.grammar_issues(spark.createDataFrame([(1, "one two")], LINE), checker, "text", ["two"]).collect()[0].issues
     assert [(i.start, i.replacements) for i in got] == [(0, ["x", "y", "z"])]
+    model = Path("/opt/tokenizers/piece_bpe_32k.model")
+    if model.exists():
+        cut = models.pieces(spark.createDataFrame([(1, "ang balay"), (2, None)], LINE), str(model)).orderBy("line_no").collect()
+        assert "".join(cut[0].pieces).replace("▁", " ").strip() == "ang balay" and cut[1].pieces == []
     pages = models.recognise_pages(spark.createDataFrame([("p", bytearray(b"ab"))], "path string, content binary"), lambda: lambda b: [chr(x) for x in b])
     assert [(r.page, r.text) for r in pages.orderBy("page").collect()] == [(1, "a"), (2, "b")]
