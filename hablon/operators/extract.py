@@ -38,14 +38,16 @@ def utterance(x: Column) -> Column:
 
 def dialogue(lines: DataFrame, text: str = "text") -> DataFrame:
     """Lines with their utterance in place of the text; lines without one dropped."""
-    return lines.withColumn(text, utterance(F.col(text))).where(F.col(text) != "")
+    rest = [c for c in lines.columns if c != text]
+    return lines.select(*rest, F.explode(F.array(utterance(F.col(text)))).alias(text)).where(F.col(text) != "").select(*lines.columns)
 
 
 def sentence_rows(df: DataFrame, text: str, *keep: str, least_words: int = LEAST_WORDS, least_chars: int = LEAST_CHARS, most_chars: int = MOST_CHARS) -> DataFrame:
     """One row per sentence of acceptable length: ``keep`` columns, ``pos``, ``sentence``."""
-    s = df.select(*keep, F.posexplode(sentences(text)).alias("pos", "raw")).withColumn("sentence", numbered_removed(F.col("raw")))
+    # cleaned inside the generator, whose output the filters above it read; a projection would be evaluated by each of them
+    s = df.select(*keep, F.posexplode(F.transform(sentences(text), numbered_removed)).alias("pos", "sentence"))
     n = F.length("sentence")
-    return s.where((word_count("sentence") >= least_words) & (n >= least_chars) & (n <= most_chars)).drop("raw")
+    return s.where((n >= least_chars) & (n <= most_chars)).where(word_count("sentence") >= least_words)
 
 
 def marked_language(x: Column) -> Column:

@@ -34,7 +34,7 @@ def corpus_counts(lines: DataFrame) -> DataFrame:
 
 def clean_lines(lines: DataFrame) -> DataFrame:
     """White space collapsed, blank lines dropped."""
-    return lines.withColumn("text", squeeze("text")).where("text <> ''")
+    return lines.where(F.col("text").rlike(r"(?U)\S")).withColumn("text", squeeze("text"))
 
 
 def shuffled(df: DataFrame, seed: int, *keys: str) -> DataFrame:
