@@ -89,6 +89,34 @@ def fit(rows: list[tuple[str, str]]) -> Model:
     return model
 
 
+def _best_path(scores: np.ndarray, cuts: list[bool]) -> list[int]:
+    """The language of each word on the path of the highest likelihood less the costs of changes.
+
+    Where no stretch of words speaks for another language by as much as half the least cost, no change can pay, and the
+    path is the language that is best over all.
+    """
+    n, k = scores.shape
+    top = int(scores.sum(0).argmax())
+    over = np.zeros((n + 1, k))
+    np.cumsum(scores - scores[:, top : top + 1], axis=0, out=over[1:])
+    if (over - np.minimum.accumulate(over, axis=0)).max() < SWITCH / 2:
+        return [top] * n
+    best = scores[0].copy()
+    back = np.empty((n, k), np.int8)
+    same = np.arange(k)
+    for i in range(1, n):
+        top = int(best.argmax())
+        jump = best[top] - (SWITCH if cuts[i] else SWITCH_INSIDE)
+        stay = best >= jump
+        back[i] = np.where(stay, same, top)
+        best = np.maximum(best, jump) + scores[i]
+    path = [int(best.argmax())]
+    for i in range(n - 1, 0, -1):
+        path.append(int(back[i][path[-1]]))
+    path.reverse()
+    return path
+
+
 def segments(text: str | None, model: Model, cache: dict[str, np.ndarray]) -> list[tuple[int, int, str, float]]:
     """(start, end, language, confidence) of each one-language segment; none for a text without words.
 
@@ -118,19 +146,7 @@ def segments(text: str | None, model: Model, cache: dict[str, np.ndarray]) -> li
             mark = False
     if not spans:
         return []
-    n, k = len(spans), len(CODES)
-    best = scores[0].copy()
-    back = np.empty((n, k), np.int8)
-    for i in range(1, n):
-        top = int(best.argmax())
-        jump = best[top] - (SWITCH if cuts[i] else SWITCH_INSIDE)
-        stay = best >= jump
-        back[i] = np.where(stay, np.arange(k), top)
-        best = np.where(stay, best, jump) + scores[i]
-    path = [int(best.argmax())]
-    for i in range(n - 1, 0, -1):
-        path.append(int(back[i][path[-1]]))
-    path.reverse()
+    path = _best_path(np.asarray(scores), cuts)
     runs: list[list[int]] = []  # [language, first, last]
     for i, code in enumerate(path):
         if runs and runs[-1][0] == code:
