@@ -89,6 +89,18 @@ def fit(rows: list[tuple[str, str]]) -> Model:
     return model
 
 
+_MARK, _NUMBER = np.zeros(0), np.zeros(0)  # what the cache holds for tokens that are no words
+
+
+def _token_score(token: str, model: Model) -> np.ndarray:
+    if not token[0].isalnum():
+        return _MARK
+    if not _WORD.match(token):
+        return _NUMBER
+    low = token.lower()
+    return model.score(low, low not in model.words and token[:1].isupper() and not token.isupper())
+
+
 def _best_path(scores: np.ndarray, cuts: list[bool]) -> list[int]:
     """The language of each word on the path of the highest likelihood less the costs of changes.
 
@@ -129,17 +141,14 @@ def segments(text: str | None, model: Model, cache: dict[str, np.ndarray]) -> li
     mark = True
     for m in _PARTS.finditer(text):
         w = m.group()
-        if not w[0].isalnum():
+        s = cache.get(w)
+        if s is None:
+            s = _token_score(w, model)
+            if len(cache) < 200_000:
+                cache[w] = s
+        if s is _MARK:
             mark = True
-            continue
-        if _WORD.match(w):
-            low = w.lower()
-            key = low if low in model.words else (w if w[:1].isupper() and not w.isupper() else low)
-            s = cache.get(key)
-            if s is None:
-                s = model.score(low, key != low)
-                if len(cache) < 200_000:
-                    cache[key] = s
+        elif s is not _NUMBER:
             spans.append(m.span())
             scores.append(s)
             cuts.append(mark)
