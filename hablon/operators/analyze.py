@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hablon.functions.text import char_count, html_tags, pytrim, tokens
+from hablon.functions.text import char_count, html_tags, pytrim, row_keys, tokens
 
 RATIO, TOKENS = (0.2, 5.0), (3, 200)  # default limits of length ratio and token counts
 CONTROL = r"[\x00-\x08\x0B\x0C\x0E-\x1F]"
@@ -102,7 +102,7 @@ def flagged(pairs: DataFrame, ratio: tuple[float, float] = RATIO, limits: tuple[
     """``line_no, src, tgt, issues`` of flagged pairs; repeated pairs are flagged from their second line on, blank pairs
     included. Issues are sorted and joined by ``|``."""
     f = pair_features(pairs, ratio, limits)
-    firsts = f.groupBy("s", "t").agg(F.min("line_no").alias("__first")).select("__first")  # joined by line, not by text
+    firsts = f.groupBy(*[k.alias(n) for k, n in zip(row_keys(F.col("s"), F.col("t")), ("__k", "__x"))]).agg(F.min("line_no").alias("__first")).select("__first")  # joined by line, not by text
     f = f.join(firsts, F.col("line_no") == F.col("__first"), "left")
     again = F.col("__first").isNull()
     names = {

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hablon.functions.text import TAG, strip_html, token_count
+from hablon.functions.text import TAG, row_keys, strip_html, token_count
 
 MAX_TOKENS, MIN_TOKENS, RATIO = 150, 3, (0.5, 9.0)
 LETTER = r"[a-zA-Z\x{00C0}-\x{FFFF}]"
@@ -28,14 +28,15 @@ def label(df: DataFrame, cols: list[str], order: str = "line_no", max_tokens: in
     NULL counts as empty text. The ratio step needs two columns and compares the first two. Of equal rows the first
     survivor of the earlier steps stays; rows that become equal only by removing markup stay. The order column is unique.
     """
-    text = [F.coalesce(F.col(c), F.lit("")) for c in cols]
-    counts = [token_count(t) for t in text]
+    # counts are columns of their own, so that the branches and filters that use them do not count again
+    counted = df.withColumns({f"__n{i}": token_count(F.coalesce(F.col(c), F.lit(""))) for i, c in enumerate(cols)})
+    counts = [F.col(f"__n{i}") for i in range(len(cols))]
     early = F.when(F.greatest(*counts, F.lit(0)) > max_tokens, "long").when(F.least(*counts, F.lit(2**31 - 1)) < min_tokens, "short")
     if len(cols) >= 2:
         r = counts[0] / F.greatest(counts[1], F.lit(1))
         early = early.when((r < ratio[0]) | (r > ratio[1]), "ratio")
-    marked = df.withColumn("__early", early)
-    keys = [F.coalesce(F.col(c), F.lit("")).alias(f"__{i}") for i, c in enumerate(cols)]
+    marked = counted.withColumn("__early", early).drop(*[f"__n{i}" for i in range(len(cols))])
+    keys = [k.alias(f"__{i}") for i, k in enumerate(row_keys(*[F.col(c) for c in cols]))]
     # the first survivor of each group of equal rows; the join is on the unique order, so that a large group is no hot key
     firsts = marked.where("__early is null").groupBy(*keys).agg(F.min(order).alias("__first")).select("__first")
     cleaned = {f"{c}__clean": strip_html(F.coalesce(F.col(c), F.lit(""))) for c in cols}
