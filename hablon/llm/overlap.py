@@ -16,8 +16,7 @@ from hablon.plans.semi import bitmap, maybe_in
 
 SCALES = ((36, 10), (24, 12), (8, 4))  # (gram length, window)
 SHORT, TINY = 200, 80  # characters of both fields up to which a record also gets the second and the third scale
-HOT = 256  # evaluation records per seed beyond which the seed is joined with its successors instead
-SPANS = (1, 2, 4)  # fingerprints that one seed spans on each level of heat
+HOT = 256  # evaluation seeds of one hash per part of a join; hashes with more are joined in several parts
 EDITS = 5  # at most one edit per so many characters
 SEED_BITS, CLASS_BITS = 25, 22  # sizes of the bitmaps (at most 2^19 and 2^16 broadcast rows) that thin out joins
 WIDE = (1 << 20) - 1  # positions and lengths are packed up to here; larger ones are not filtered by
@@ -106,7 +105,7 @@ def winnow(texts: list[str], gram: int, window: int) -> tuple[np.ndarray, np.nda
     return w[order], p[order], h[order]
 
 
-def _fingerprints(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:
+def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column("cid").to_numpy(zero_copy_only=False)
         wide = [np.minimum(np.fromiter((len(t or "") for t in batch.column(c).to_pylist()), np.int64, batch.num_rows), WIDE) for c in ("a", "b")]
@@ -123,27 +122,18 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.R
                 rows = np.asarray(which)[w]
                 with np.errstate(over="ignore"):
                     h = _mix(h + np.uint64(scale + 1) * _MUL)
-                    keep = np.ones(len(h), bool)
-                    base = h
-                    for step in range(1, span):
-                        ahead = np.concatenate([base[step:], np.zeros(min(step, len(base)), np.uint64)])
-                        same = np.concatenate([rows[step:] == rows[:-step], np.zeros(min(step, len(base)), bool)])
-                        h = _mix(h * _BASE + ahead)
-                        keep &= same
                 yield pa.record_batch(
                     {
-                        "h": pa.array(h[keep].view(np.int64)),
-                        "cid": pa.array(ids[rows[keep]], pa.int64()),
-                        "fp": pa.array((field << 60) | (np.minimum(p[keep], WIDE) << 40) | lengths[rows[keep]]),
-                        "first": pa.array(base[keep].view(np.int64)),
+                        "h": pa.array(h.view(np.int64)),
+                        "cid": pa.array(ids[rows], pa.int64()),
+                        "fp": pa.array((field << 60) | (np.minimum(p, WIDE) << 40) | lengths[rows]),
                     }
                 )
 
 
-def fingerprints(classes: DataFrame, span: int = 1) -> DataFrame:
-    """``h, cid, fp, first``: seeds of ``span`` successive fingerprints; ``fp`` packs the field, the position and the
-    lengths of both fields."""
-    return prepared(classes).select("cid", "a", "b").mapInArrow(lambda it: _fingerprints(it, span), "h long, cid long, fp long, first long")
+def fingerprints(classes: DataFrame) -> DataFrame:
+    """``h, cid, fp``: the seeds of each class; ``fp`` packs the field, the position and the lengths of both fields."""
+    return prepared(classes).select("cid", "a", "b").mapInArrow(_fingerprints, "h long, cid long, fp long")
 
 
 def text_classes(df: DataFrame, evaluation: Column, id_col: str, first: str, second: str) -> DataFrame:
@@ -165,30 +155,23 @@ def text_classes(df: DataFrame, evaluation: Column, id_col: str, first: str, sec
 
 
 def _seed_pairs(classes: DataFrame) -> DataFrame:
-    """``t, e, swapped, seeds``: pairs of classes that share a seed on a possible diagonal."""
+    """``t, e, swapped, seeds``: pairs of classes that share a seed on a possible diagonal.
+
+    The evaluation seeds of a hot hash are spread over parts, and its training seeds go to every part, so that no pair is
+    left out and no task meets all of them.
+    """
     train, held = classes.where("n_train > 0"), classes.where("n_eval > 0")
-    fields = ("h", "cid", "fp")
-    joined, still = None, None
-    for level, span in enumerate(SPANS):
-        left = fingerprints(train, span)
-        right = fingerprints(held, span)
-        if still is not None:  # only seeds that begin with a hot fingerprint of the level before
-            left = left.join(still, "first", "left_semi")
-            right = right.join(still, "first", "left_semi")
-        if level + 1 < len(SPANS):
-            hot = cut(right.groupBy("h", "first").count().where(F.col("count") > HOT).select("h", "first"))
-            any_hot = not hot.isEmpty()
-            if any_hot:
-                right = right.join(hot.select("h"), "h", "left_anti")
-        else:
-            any_hot = False
-        if still is None:
-            left = maybe_in(left.select(*fields), "h", bitmap(right, "h", SEED_BITS), SEED_BITS)
-        part = left.select(*fields).join(right.select("h", F.col("cid").alias("e"), F.col("fp").alias("efp")), "h").where("cid <> e")
-        joined = part if joined is None else joined.unionByName(part)
-        if not any_hot:
-            break
-        still = hot.select("first").distinct()
+    right = fingerprints(held)
+    left = maybe_in(fingerprints(train), "h", bitmap(right, "h", SEED_BITS), SEED_BITS)
+    right = right.select("h", F.col("cid").alias("e"), F.col("fp").alias("efp"))
+    hot = cut(right.groupBy("h").count().where(F.col("count") > HOT).select("h", F.ceil(F.col("count") / HOT).alias("parts")))
+    on = ["h"]
+    if not hot.isEmpty():
+        on = ["h", "part"]
+        parts = F.coalesce("parts", F.lit(1).cast("long"))
+        left = left.join(hot, "h", "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("parts")
+        right = right.join(hot, "h", "left").withColumn("part", F.pmod(F.xxhash64("e", "efp"), parts)).drop("parts")
+    joined = left.join(right, on).where("cid <> e")
     return (
         joined.where(_possible()).select(F.col("cid").alias("t"), "e", (_field("fp") != _field("efp")).alias("swapped"), _seed().alias("seed"))
         .groupBy("t", "e", "swapped")

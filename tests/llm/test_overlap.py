@@ -90,6 +90,20 @@ def test_hot_seed_with_many_different_records(spark, monkeypatch):
     assert got == {(2 * i, 2 * i + 1) for i in range(30)}
 
 
+def test_pair_whose_only_common_seed_is_hot_and_last(spark, monkeypatch):
+    monkeypatch.setattr(overlap, "HOT", 3)
+    rng = random.Random(6)
+    shared = "sangmgatawosabanwangaginhatagangmgaregalokagta"[:45]
+    letters = lambda n: [rng.choice("bcdfhjklmnpqrstvwxyz") for _ in range(n)]
+    edited = lambda x, step: "".join("e" if (len(x) - 1 - k) % step == 0 else c for k, c in enumerate(x))
+    rows = []
+    for i in range(12):
+        a, b = letters(50), letters(130)
+        rows += [(2 * i, "train", "s", "".join(a) + shared, "".join(b), 0), (2 * i + 1, "dev", "s", edited(a, 6) + shared, edited(b, 15), 0)]
+    got = {tuple(r) for r in overlap.overlaps(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == brute(rows) == {(2 * i, 2 * i + 1) for i in range(12)}
+
+
 def test_report_counts_pairs_and_coverage(spark):
     text = "nagkadto sila sa merkado sang aga kag nagbakal sang isda para sa panihapon sang bug os nga pamilya"
     rows = [(1, "train", "a", text, text[::-1], 0), (2, "train", "b", text, text[::-1], 0), (3, "dev", "b", text.upper(), text[::-1], 0), (4, "dev", "c", "lain", "iban", 0)]
