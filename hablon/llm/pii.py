@@ -6,22 +6,23 @@ about persons (pointwise mutual information). Terms beyond the disclosure thresh
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hablon.plans.lineage import cut
 from hablon.plans.workers import prepared
 
 DISCLOSURE = 2.5  # information (nats) beyond which a first name is taken to disclose a person
 ENDING_DISCLOSURE = 0.7  # the same for endings of family names
 LEAST_SEEN = 3  # seeds that a term needs at least
-LEAST_SHARE = 1e-5  # share of all seeds that a term needs; so no table holds more than 1 / LEAST_SHARE terms
+LEAST_TITLES = 8  # the same for the words before an honorific initial
+MODEL_ROWS = 300_000  # terms up to which the whole model goes to every task; of larger ones each text gets what it holds
 ENDING = 4
 
 # fixed values: honorifics and personal articles of the languages of the corpus
@@ -145,27 +146,49 @@ def statistics(df: DataFrame, text_col: str) -> DataFrame:
     return prepared(df).select(text_col).mapInPandas(run, "role string, term string, n long").groupBy("role", "term").agg(F.sum("n").alias("n"))
 
 
+def learned(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """``role, term, value``: the model of a corpus as a table, with the roles ``g``, ``f`` and ``i`` of ``observe``. What a
+    term needs is the same for a corpus of any size."""
+    counts = cut(statistics(df, text_col))
+    totals = {r.role: r.n for r in counts.groupBy("role").agg(F.sum("n").alias("n")).collect()}
+
+    def informed(role: str, base: str, threshold: float) -> DataFrame:
+        seeds = counts.where((F.col("role") == role) & (F.col("n") >= LEAST_SEEN)).select("role", "term", "n")
+        every = counts.where(F.col("role") == base).select("term", F.col("n").alias("all"))
+        value = F.log(F.col("n") / totals.get(role, 1) / (F.greatest("all", "n") / totals.get(base, 1)))
+        return seeds.join(every, "term").select("role", "term", value.alias("value")).where(F.col("value") >= threshold)
+
+    i = counts.where(F.col("role") == "i").select(F.substring_index("term", "|", 1).alias("before"), F.substring_index("term", "|", -1).alias("letter"), "n")
+    whole = i.groupBy("before").agg(F.sum("n").alias("every"), F.max(F.struct("n", "letter")).alias("top")).where((F.col("every") >= LEAST_TITLES) & (F.col("top.n") > 0.8 * F.col("every")))
+    titles = whole.select(F.lit("i").alias("role"), F.concat_ws(" ", "before", "top.letter").alias("term"), F.lit(1.0).alias("value"))
+    return informed("g", "t", DISCLOSURE).unionByName(informed("f", "e", ENDING_DISCLOSURE)).unionByName(titles)
+
+
+def _model(rows: Iterable) -> Model:
+    model = Model({}, {}, set())
+    for r in rows:
+        if r["role"] == "i":
+            model.titles.add(r["term"])
+        else:
+            (model.given if r["role"] == "g" else model.endings)[r["term"]] = r["value"]
+    return model
+
+
 def learn(df: DataFrame, text_col: str = "text") -> Model:
-    """The model of a corpus. Only terms with ``LEAST_SHARE`` of the seeds reach the driver, which bounds their number."""
-    counts = statistics(df, text_col).persist()
-    try:
-        totals = {r.role: r.n for r in counts.groupBy("role").agg(F.sum("n").alias("n")).collect()}
-        least = lambda role: max(LEAST_SEEN, math.ceil(LEAST_SHARE * totals.get(role, 0)))
-
-        def informed(role: str, base: str) -> dict[str, float]:
-            seeds = counts.where((F.col("role") == role) & (F.col("n") >= least(role))).select("term", "n")
-            every = counts.where(F.col("role") == base).select("term", F.col("n").alias("all"))
-            rows = every.join(F.broadcast(seeds), "term").collect() if totals.get(role) else []
-            return {r.term: math.log(r.n / totals[role] / (max(r.all, r.n) / totals[base])) for r in rows}
-
-        given = {w: v for w, v in informed("g", "t").items() if v >= DISCLOSURE}
-        endings = {w: v for w, v in informed("f", "e").items() if v >= ENDING_DISCLOSURE}
-        i = counts.where(F.col("role") == "i").select(F.substring_index("term", "|", 1).alias("before"), F.substring_index("term", "|", -1).alias("letter"), "n")
-        whole = i.groupBy("before").agg(F.sum("n").alias("every"), F.max(F.struct("n", "letter")).alias("top")).where((F.col("every") >= max(8, least("i"))) & (F.col("top.n") > 0.8 * F.col("every")))
-        titles = {f"{r.before} {r.letter}" for r in whole.select("before", "top.letter").collect()}
-    finally:
-        counts.unpersist()
-    return Model(given, endings, titles)
+    """The whole model of a corpus, on the driver."""
+    return _model(learned(df, text_col).collect())
+
+
+def _asked(text: str) -> set[tuple[str, str]]:
+    """The roles and terms of a model that ``names`` may look up in a text."""
+    out = set()
+    for m in TOKEN.finditer(text):
+        word, start = m.group(), m.start()
+        out |= {("g", word.lower()), ("f", word.lower()[-ENDING:])}
+        b = WORDS_BEFORE.search(text, max(0, start - 60), start) if len(word) == 1 else None
+        if b:
+            out.add(("i", f"{b.group(1).lower()} {b.group(2).lower()} {word}"))
+    return out
 
 
 def _ending(model: Model, word: str) -> float:
@@ -268,27 +291,50 @@ def redact(text: str | None, spans: list[tuple[int, int, str]]) -> str | None:
     return "".join([*out, text[at:]])
 
 
+def _with_spans(df: DataFrame, id_col: str, text_col: str, result: Callable, schema: str) -> DataFrame:
+    """``result`` of the ids, texts and spans of each batch. A model of more than ``MODEL_ROWS`` terms is joined to the terms
+    of each text, so that no task holds the whole of it."""
+    terms = cut(learned(df, text_col))
+    rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("rid"), F.col(text_col).alias("body"))
+    if terms.count() <= MODEL_ROWS:
+        model = df.sparkSession.sparkContext.broadcast(_model(terms.collect()))
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                yield result(batch["rid"], batch["body"], [find(text, model.value) for text in batch["body"]])
+
+        return rows.mapInPandas(run, schema)
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame([(k, *t) for k, text in zip(batch["key"], batch["body"]) if text for t in _asked(text)], columns=["key", "role", "term"])
+
+    def run_told(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            spans = [find(text, _model(told if told is not None else ())) for text, told in zip(batch["body"], batch["told"])]
+            yield result(batch["rid"], batch["body"], spans)
+
+    keyed = rows.withColumn("key", F.md5("body"))
+    asked = keyed.select("key", "body").mapInPandas(ask, "key string, role string, term string").distinct()
+    told = asked.join(terms, ["role", "term"]).groupBy("key").agg(F.collect_list(F.struct("role", "term", "value")).alias("told"))
+    return keyed.join(told, "key", "left").select("rid", "body", "told").mapInPandas(run_told, schema)
+
+
 def personal_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, start_char, end_char, kind``; offsets are code points, ends exclusive. NULL and empty texts have
     none, rows without an id are left out."""
-    model = df.sparkSession.sparkContext.broadcast(learn(df, text_col))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [(i, *s) for i, text in zip(batch["rid"], batch["body"]) for s in find(text, model.value)]
-            yield pd.DataFrame(rows, columns=["doc_id", "start_char", "end_char", "kind"])
+    def result(ids: pd.Series, texts: pd.Series, spans: list) -> pd.DataFrame:
+        return pd.DataFrame([(i, *s) for i, found in zip(ids, spans) for s in found], columns=["doc_id", "start_char", "end_char", "kind"])
 
-    return df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("rid"), F.col(text_col).alias("body")).mapInPandas(run, "doc_id long, start_char long, end_char long, kind string")
+    return _with_spans(df, id_col, text_col, result, "doc_id long, start_char long, end_char long, kind string")
 
 
 def sanitise(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, text, n_replaced``: each text with placeholders of their types, otherwise unchanged. Rows without an id are
     left out."""
-    model = df.sparkSession.sparkContext.broadcast(learn(df, text_col))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            spans = [find(text, model.value) for text in batch["body"]]
-            yield pd.DataFrame({"doc_id": batch["rid"], "text": [redact(t, s) for t, s in zip(batch["body"], spans)], "n_replaced": [len(s) for s in spans]})
+    def result(ids: pd.Series, texts: pd.Series, spans: list) -> pd.DataFrame:
+        return pd.DataFrame({"doc_id": ids, "text": [redact(t, s) for t, s in zip(texts, spans)], "n_replaced": [len(s) for s in spans]})
 
-    return df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("rid"), F.col(text_col).alias("body")).mapInPandas(run, "doc_id long, text string, n_replaced long")
+    return _with_spans(df, id_col, text_col, result, "doc_id long, text string, n_replaced long")
