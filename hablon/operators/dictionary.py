@@ -1,4 +1,4 @@
-"""Managing dictionaries, settings and datasets as tables, and small operators around them."""
+"""Managing dictionaries, settings and collections as tables, and small operators around them."""
 
 from __future__ import annotations
 
@@ -49,17 +49,17 @@ def set_setting(settings: DataFrame, key: str, value: str) -> DataFrame:
     return upsert(settings, one, "key")
 
 
-def create_dataset(datasets: DataFrame, name: str, headers: list[str]) -> DataFrame:
-    """A dataset without rows added under a new id."""
-    one = datasets.sparkSession.createDataFrame([(name, headers)], "name string, headers array<string>")
+def create_collection(collections: DataFrame, name: str, headers: list[str]) -> DataFrame:
+    """A collection without rows added under a new id."""
+    one = collections.sparkSession.createDataFrame([(name, headers)], "name string, headers array<string>")
     one = one.select(F.expr("uuid()").alias("id"), "name", "headers", F.lit(0).alias("row_count"), F.current_timestamp().alias("created_at"), F.current_timestamp().alias("updated_at"))
-    return datasets.unionByName(one.select(*[F.col(c).cast(datasets.schema[c].dataType) for c in datasets.columns]))
+    return collections.unionByName(one.select(*[F.col(c).cast(collections.schema[c].dataType) for c in collections.columns]))
 
 
-def update_dataset(datasets: DataFrame, key: str, name: str | None = None, headers: list[str] | None = None) -> DataFrame:
-    """Name or headers of a dataset changed."""
+def update_collection(collections: DataFrame, key: str, name: str | None = None, headers: list[str] | None = None) -> DataFrame:
+    """Name or headers of a collection changed."""
     here = F.col("id") == key
-    out = datasets
+    out = collections
     if name is not None:
         out = out.withColumn("name", F.when(here, F.lit(name)).otherwise(F.col("name")))
     if headers is not None:
@@ -103,5 +103,5 @@ def print_report(report: DataFrame, most: int = 200) -> str:
     return "\n".join(f"{mark[r.flag]} {r.metric:<18}{r.value:>12g}{r.pct:>9.2f} %" for r in report.limit(most).collect())
 
 
-def empty_datasets(spark: SparkSession) -> DataFrame:
+def empty_collections(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "id string, name string, headers array<string>, row_count int, created_at timestamp, updated_at timestamp")

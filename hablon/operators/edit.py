@@ -91,26 +91,26 @@ def replace_all(df: DataFrame, cols: list[str], pattern: str, new: str) -> DataF
     return df.withColumns({c: F.regexp_replace(F.col(c), pattern, new) for c in cols})
 
 
-def next_position(rows: DataFrame, dataset: str) -> DataFrame:
-    """The place after the last row of each dataset."""
-    return rows.groupBy(dataset).agg((F.coalesce(F.max(POS), F.lit(-1)) + 1).alias("next"))
+def next_position(rows: DataFrame, collection: str) -> DataFrame:
+    """The place after the last row of each collection."""
+    return rows.groupBy(collection).agg((F.coalesce(F.max(POS), F.lit(-1)) + 1).alias("next"))
 
 
-def import_rows(rows: DataFrame, new: DataFrame, dataset: str, order: str) -> DataFrame:
-    """New rows appended to their datasets after the last position, in their own order."""
-    start = next_position(rows, dataset)
-    placed = numbered(new.drop("line_no"), order, dataset).join(start, dataset, "left")
+def import_rows(rows: DataFrame, new: DataFrame, collection: str, order: str) -> DataFrame:
+    """New rows appended to their collections after the last position, in their own order."""
+    start = next_position(rows, collection)
+    placed = numbered(new.drop("line_no"), order, collection).join(start, collection, "left")
     placed = placed.withColumn(POS, (F.coalesce("next", F.lit(0)) + F.col("line_no") - 1).cast(rows.schema[POS].dataType))
     return rows.unionByName(placed.select(*rows.columns))
 
 
-def row_counts(rows: DataFrame, datasets: DataFrame, key: str) -> DataFrame:
-    """Rows per dataset, datasets without rows included."""
-    return datasets.select(key).join(rows.groupBy(key).agg(F.count("*").alias("n")), key, "left").select(key, F.coalesce("n", F.lit(0)).alias("n"))
+def row_counts(rows: DataFrame, collections: DataFrame, key: str) -> DataFrame:
+    """Rows per collection, collections without rows included."""
+    return collections.select(key).join(rows.groupBy(key).agg(F.count("*").alias("n")), key, "left").select(key, F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def delete_dataset(rows: DataFrame, deleted: DataFrame, key: str) -> DataFrame:
-    """Rows of deleted datasets go with them."""
+def delete_collection(rows: DataFrame, deleted: DataFrame, key: str) -> DataFrame:
+    """Rows of deleted collections go with them."""
     return rows.join(deleted.select(key), key, "left_anti")
 
 
@@ -121,7 +121,7 @@ def export_lines(rows: DataFrame, headers: list[str], data: str = "data") -> Dat
 
 
 def map_columns(df: DataFrame, mapping: dict[str, str | None], headers: list[str]) -> DataFrame:
-    """File columns brought under dataset headers: by the mapping, else by equal name ignoring case, else empty."""
+    """File columns brought under collection headers: by the mapping, else by equal name ignoring case, else empty."""
     by_name = {c.lower(): c for c in df.columns}
     pick = {h: mapping.get(h) or by_name.get(h.lower()) for h in headers}
     keep = [POS] if POS in df.columns else []

@@ -113,40 +113,40 @@ def edit_replace_all(spark, sf):
     return edit.replace_all(rows(spark, sf), ["src", "tgt"], "[aeiou]{2}", "<$0>").select("row_id", "src", "tgt")
 
 
-def datasets(spark, sf):
+def collections(spark, sf):
     t = table(spark, sf, "test")
     inside = F.row_number().over(Window.partitionBy("source").orderBy("row_id")) - 1
     return t.select("source", inside.cast("long").alias("position"), F.create_map(F.lit("src"), F.col("src"), F.lit("tgt"), F.col("tgt")).alias("data"))
 
 
-def dataset_next_position(spark, sf):
-    return edit.next_position(datasets(spark, sf), "source")
+def collection_next_position(spark, sf):
+    return edit.next_position(collections(spark, sf), "source")
 
 
-def dataset_import(spark, sf):
+def collection_import(spark, sf):
     new = table(spark, sf, "documents").select(F.lit("news_pairs").alias("source"), "doc_id", F.create_map(F.lit("src"), F.col("source")).alias("data"))
-    out = edit.import_rows(datasets(spark, sf), new, "source", "doc_id")
+    out = edit.import_rows(collections(spark, sf), new, "source", "doc_id")
     return out.select("source", "position", F.coalesce(F.element_at("data", "src"), F.lit("")).alias("src"))
 
 
-def dataset_row_counts(spark, sf):
-    d = datasets(spark, sf)
+def collection_row_counts(spark, sf):
+    d = collections(spark, sf)
     names = d.select("source").distinct().unionByName(spark.range(1).select(F.lit("unused").alias("source")))
     return edit.row_counts(d, names, "source")
 
 
-def dataset_delete(spark, sf):
-    d = datasets(spark, sf)
+def collection_delete(spark, sf):
+    d = collections(spark, sf)
     gone = d.groupBy("source").agg(F.count("*").alias("n")).where("n > 400").select("source")
-    return edit.delete_dataset(d, gone, "source").select("source", "position")
+    return edit.delete_collection(d, gone, "source").select("source", "position")
 
 
-def dataset_export(spark, sf):
-    d = datasets(spark, sf).where("source = 'news_pairs'")
+def collection_export(spark, sf):
+    d = collections(spark, sf).where("source = 'news_pairs'")
     return edit.export_lines(d, ["tgt", "src", "none"])
 
 
-def dataset_columns(spark, sf):
+def collection_columns(spark, sf):
     return edit.map_columns(rows(spark, sf), {"hil": "tgt"}, ["SRC", "hil", "note"])
 
 
@@ -199,8 +199,8 @@ def set_operations(spark, sf):
 
 QUERIES = (
     join_zip_truncate, join_zip_pad, join_numbered, join_aligned, join_merge_new, join_overlay, join_upsert, join_incomplete, edit_update_cell, edit_delete_rows,
-    edit_move_up, edit_move_down, edit_insert_blank, edit_append_blank, edit_page, edit_search, edit_replace_all, dataset_next_position, dataset_import,
-    dataset_row_counts, dataset_delete, dataset_export, dataset_columns, source_json_pairs, source_json_first, source_json_invalid, source_json_props,
+    edit_move_up, edit_move_down, edit_insert_blank, edit_append_blank, edit_page, edit_search, edit_replace_all, collection_next_position, collection_import,
+    collection_row_counts, collection_delete, collection_export, collection_columns, source_json_pairs, source_json_first, source_json_invalid, source_json_props,
     source_tab_lines, source_second_column, set_operations,
 )
 
@@ -244,12 +244,12 @@ def oracle_sql() -> dict[str, str]:
         "edit_page": f"with {_ROWS} select row_id, position from r order by position limit 50 offset 100",
         "edit_search": f"with {_ROWS} select row_id from r where contains(lower(src), 'balay') or contains(lower(tgt), 'balay')",
         "edit_replace_all": rf"with {_ROWS} select row_id, regexp_replace(src, '([aeiou]{{2}})', '<\1>', 'g') as src, regexp_replace(tgt, '([aeiou]{{2}})', '<\1>', 'g') as tgt from r",
-        "dataset_next_position": f"with {_DATA} select source, max(position) + 1 as next from d group by source",
-        "dataset_import": f"with {_DATA} select source, position, coalesce(src, '') as src from d union all select 'news_pairs', row_number() over (order by doc_id) - 1 + (select count(*) from d where source = 'news_pairs'), coalesce(source, '') from documents",
-        "dataset_row_counts": "select source, count(*) as n from test group by source union all select 'unused', 0",
-        "dataset_delete": f"with {_DATA}, k as (select source from d group by source having count(*) > 400) select source, position from d where source not in (select source from k)",
-        "dataset_export": f"with {_DATA} select position, coalesce(tgt, '') || chr(9) || coalesce(src, '') || chr(9) as line from d where source = 'news_pairs'",
-        "dataset_columns": f"with {_ROWS} select position, src as SRC, tgt as hil, '' as note from r",
+        "collection_next_position": f"with {_DATA} select source, max(position) + 1 as next from d group by source",
+        "collection_import": f"with {_DATA} select source, position, coalesce(src, '') as src from d union all select 'news_pairs', row_number() over (order by doc_id) - 1 + (select count(*) from d where source = 'news_pairs'), coalesce(source, '') from documents",
+        "collection_row_counts": "select source, count(*) as n from test group by source union all select 'unused', 0",
+        "collection_delete": f"with {_DATA}, k as (select source from d group by source having count(*) > 400) select source, position from d where source not in (select source from k)",
+        "collection_export": f"with {_DATA} select position, coalesce(tgt, '') || chr(9) || coalesce(src, '') || chr(9) as line from d where source = 'news_pairs'",
+        "collection_columns": f"with {_ROWS} select position, src as SRC, tgt as hil, '' as note from r",
         "source_json_pairs": f"with {PAIRS}, {ok} select line_no, s as src, t as tgt from j where n = 1 and s <> '' and t <> '' union all select line_no, s, unnest([t, upper(t)]) from j where n > 4 and s <> '' and t <> ''",
         "source_json_first": f"with {PAIRS}, {ok} select line_no, s as src, t as tgt from j where (n = 1 or n > 4) and s <> '' and t <> ''",
         "source_json_invalid": f"with {PAIRS} select line_no from pairs where line_no % 11 in (0, 3, 4)",

@@ -17,14 +17,14 @@ def test_words_and_entries(spark):
     assert dictionary.phrase_rules(rules) == (("a", "x"), ("b", "y"))
 
 
-def test_settings_and_datasets(spark):
+def test_settings_and_collections(spark):
     s = spark.createDataFrame([("k", "1", None)], "key string, value string, updated_at timestamp")
     s = dictionary.set_setting(dictionary.set_setting(s, "k", "2"), "j", "3")
     assert sorted((r.key, r.value) for r in s.collect()) == [("j", "3"), ("k", "2")]
-    d = dictionary.create_dataset(dictionary.empty_datasets(spark), "n", ["a", "b"])
+    d = dictionary.create_collection(dictionary.empty_collections(spark), "n", ["a", "b"])
     assert [(r.name, r.headers, r.row_count) for r in d.collect()] == [("n", ["a", "b"], 0)]
     fixed = d.withColumn("id", F.lit("x"))
-    assert [(r.name, r.headers) for r in dictionary.update_dataset(fixed, "x", "m", ["c"]).collect()] == [("m", ["c"])]
+    assert [(r.name, r.headers) for r in dictionary.update_collection(fixed, "x", "m", ["c"]).collect()] == [("m", ["c"])]
 
 
 def test_spans_books_and_reports(spark):
