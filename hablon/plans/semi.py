@@ -23,3 +23,10 @@ def maybe_in(df: DataFrame, key: str, words: DataFrame, bits: int) -> DataFrame:
     word, bit = _place(key, bits)
     marked = df.select("*", word.alias("word"), bit.alias("bit"))
     return marked.join(F.broadcast(words), "word").where(F.col("mask").bitwiseAND(F.col("bit")) != 0).select(*df.columns)
+
+
+def maybe_not_in(df: DataFrame, key: str, words: DataFrame, bits: int) -> DataFrame:
+    """The rows that ``maybe_in`` leaves out."""
+    word, bit = _place(key, bits)
+    marked = df.select("*", word.alias("word"), bit.alias("bit"))
+    return marked.join(F.broadcast(words), "word", "left").where(F.coalesce(F.col("mask"), F.lit(0)).bitwiseAND(F.col("bit")) == 0).select(*df.columns)
