@@ -19,6 +19,10 @@ def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.overlap_report(table(spark, sf_dir, "test"))
 
 
+def p1_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.overlap_classes(table(spark, sf_dir, "test"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(table(spark, sf_dir, "paired_lines"), table(spark, sf_dir, "test")).select("file_id", "src_line", "tgt_line")
 
@@ -76,7 +80,7 @@ def p9_sanitised(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_report, p2_found, p3_found, p3_roles, p4_found, p4_rows, p4_segments, p5_found, p5_collapsed, p7_packed, p7_report, p8_mixture, p8_shares, p9_found, p9_sanitised)}
+    return {f.__name__: f for f in (p1_found, p1_report, p1_classes, p2_found, p3_found, p3_roles, p4_found, p4_rows, p4_segments, p5_found, p5_collapsed, p7_packed, p7_report, p8_mixture, p8_shares, p9_found, p9_sanitised)}
 
 
 _CANON = r"regexp_replace(lower(coalesce({c}, '')), '[^\p{{L}}\p{{N}}]+', '', 'g')"
