@@ -22,7 +22,7 @@ SHORT_PAIR = 200  # letters of both fields up to which they also get the second
 HOT = 256  # evaluation seeds of one hash per part of a join; hashes with more are joined in several parts
 COPIES = 1024  # rows of one class per part of a join; classes with more are joined in several parts
 EDITS = 5  # at most one edit per so many characters
-SEED_BITS, CLASS_BITS = 25, 22  # sizes of the bitmaps (at most 2^19 and 2^16 broadcast rows) that thin out joins
+SEED_BITS, CLASS_BITS = 26, 22  # sizes of the bitmaps (at most 2^20 and 2^16 broadcast rows) that thin out joins
 WIDE = (1 << 20) - 1  # positions and lengths are packed up to here; this one stands for any larger or several places
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -295,7 +295,7 @@ def _extended(field: int, own: str, other: str) -> Column:
 
 
 def _verified(pairs: DataFrame) -> DataFrame:
-    """``t, e, covered`` of the pairs within the allowed edits, ``covered`` being the characters of the evaluation record that
+    """``t, e, covered, n_train, n_eval`` of the pairs within the allowed edits, ``covered`` being the characters of the evaluation record that
     the alignment keeps. ``pairs`` has the fields ``ea, eb``, their counterparts ``p, q``, and ``runs``. A pair is first
     extended from its chain; where the chain's gaps take too many edits, the whole fields are aligned in a band."""
     near = lambda p, q: f"abs(length({p}) - length({q})) * {EDITS} <= greatest(length({p}), length({q}))"
@@ -304,7 +304,7 @@ def _verified(pairs: DataFrame) -> DataFrame:
     found = found.withColumn("d0", F.coalesce(_extended(0, "ea", "p"), whole("p", "ea"))).where("d0 >= 0")
     found = found.withColumn("d1", F.coalesce(_extended(1, "eb", "q"), whole("q", "eb"))).where("d1 >= 0")
     kept = F.greatest(F.lit(0), F.length("ea") - F.col("d0")) + F.greatest(F.lit(0), F.length("eb") - F.col("d1"))
-    return found.groupBy("t", "e").agg(F.max(kept).alias("covered"))
+    return found.groupBy("t", "e").agg(F.max(kept).alias("covered"), F.first("n_train").alias("n_train"), F.first("n_eval").alias("n_eval"))
 
 
 def _sides(pairs: DataFrame, t: DataFrame, e: DataFrame) -> DataFrame:
@@ -314,16 +314,16 @@ def _sides(pairs: DataFrame, t: DataFrame, e: DataFrame) -> DataFrame:
 
 
 def _texts(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    t = classes.where("n_train > 0").select(F.col("cid").alias("t"), F.col("a").alias("ta"), F.col("b").alias("tb"))
-    return t, classes.where("n_eval > 0").select(F.col("cid").alias("e"), F.col("a").alias("ea"), F.col("b").alias("eb"))
+    t = classes.where("n_train > 0").select(F.col("cid").alias("t"), F.col("a").alias("ta"), F.col("b").alias("tb"), "n_train")
+    return t, classes.where("n_eval > 0").select(F.col("cid").alias("e"), F.col("a").alias("ea"), F.col("b").alias("eb"), "n_eval")
 
 
 def _own(classes: DataFrame) -> DataFrame:
-    return classes.where("n_train > 0 and n_eval > 0").select(F.col("cid").alias("t"), F.col("cid").alias("e"), (F.length("a") + F.length("b")).alias("covered"))
+    return classes.where("n_train > 0 and n_eval > 0").select(F.col("cid").alias("t"), F.col("cid").alias("e"), (F.length("a") + F.length("b")).alias("covered"), "n_train", "n_eval")
 
 
 def matches(classes: DataFrame, scales: tuple[tuple[int, int], ...] = SCALES) -> DataFrame:
-    """``t, e, covered``: pairs of classes whose fields turn into one another within the allowed edits, and for each
+    """``t, e, covered, n_train, n_eval``: pairs of classes whose fields turn into one another within the allowed edits, and for each
     the characters of the evaluation record that their alignment keeps. A class with both kinds of rows matches itself.
     """
     seen = cut(_chained(_seed_pairs(classes, scales), scales))
@@ -360,20 +360,30 @@ def _prepared(df: DataFrame, split_col: str, train: str, id_col: str, first: str
     return classes, members, exact_matches(classes) if scales is None else matches(classes, scales)
 
 
-def _parted(classes: DataFrame, rows: DataFrame, rid: str) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Both sides of a join of classes with their rows, and its keys. Classes of more than ``COPIES`` rows are spread over
-    parts; a bitmap of them, of bounded size, tells both sides which these are."""
-    on = ["k", "x"]
+def _parted(classes: DataFrame, rows: DataFrame) -> DataFrame:
+    """Classes joined with their rows. Classes of more than ``COPIES`` rows are spread over parts; a bitmap of them, of
+    bounded size, tells both sides which these are."""
+    on, parts = ["k", "x"], 64
     big = classes.where(F.col("n_train") + F.col("n_eval") > COPIES)
     if big.isEmpty():
-        return classes, rows, on
-    parts, bits = 64, CLASS_BITS
-    words = bitmap(big, "x", bits)
-    flagged = lambda df: maybe_in(df, "x", words, bits)
-    rest = lambda df: maybe_not_in(df, "x", words, bits)
-    left = flagged(classes).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).unionByName(rest(classes).withColumn("part", F.lit(0)))
-    right = flagged(rows).withColumn("part", F.pmod(F.xxhash64(rid), F.lit(parts)).cast("int")).unionByName(rest(rows).withColumn("part", F.lit(0)))
-    return left, right, [*on, "part"]
+        return classes.join(rows, on)
+    words = bitmap(big, "x", CLASS_BITS)
+    split = lambda df, part: maybe_in(df, "x", words, CLASS_BITS).withColumn("part", part).unionByName(maybe_not_in(df, "x", words, CLASS_BITS).withColumn("part", F.lit(0)))
+    left = split(classes, F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return left.join(split(rows, F.pmod(F.xxhash64("rid"), F.lit(parts)).cast("int")), [*on, "part"])
+
+
+def _expanded(found: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rt, re``: the training and evaluation rows of matched classes, joined in parts of at most ``COPIES`` rows a side."""
+    share = lambda n: F.ceil(F.greatest(F.lit(1), n) / COPIES)
+    out = found
+    for kind, is_train, n in (("t", True, "n_train"), ("e", False, "n_eval")):
+        side = rows.where(F.col("is_train") == F.lit(is_train)).select(F.col("cid").alias(kind), F.col("rid").alias(f"r{kind}"), F.pmod(F.xxhash64("rid"), share(F.col(n))).alias("part"))
+        if out.where(F.col(n) > COPIES).isEmpty():
+            out = out.join(side.drop("part"), kind)
+        else:
+            out = out.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), share(F.col(n)) - 1))).join(side, [kind, "part"]).drop("part")
+    return out
 
 
 def overlaps(
@@ -387,19 +397,14 @@ def overlaps(
     of the fingerprints (the first for every field); None compares without fingerprints, see ``exact_matches``.
     """
     classes, members, found = _prepared(df.withColumn("source", F.lit(None).cast("string")), split_col, train, id_col, first, second, scales)
-    found = cut(found.select("t", "e"))
-    classes = classes.select("cid", "k", "x", "n_train", "n_eval")
-    matched = classes.join(found.select(F.explode(F.array("t", "e")).alias("cid")).distinct(), "cid", "left_semi")
-    left, right, on = _parted(matched, members.select("rid", "split", "k", "x"), "rid")
-    rows = left.join(right, on).select("cid", "n_train", "n_eval", "rid", (F.col("split") == train).alias("is_train"))
-    share = lambda n: F.ceil(F.greatest(F.lit(1), n) / COPIES).cast("int")
-    sizes = lambda kind, name: classes.select(F.col("cid").alias(kind), share(F.col(name)).alias(f"{kind}_parts"))
-    side = lambda kind, is_train, n: rows.where(F.col("is_train") == F.lit(is_train)).select(
-        F.col("cid").alias(kind), F.col("rid").alias(f"r{kind}"), F.pmod(F.xxhash64("rid"), share(F.col(n)).cast("long")).cast("int").alias(f"{kind}_part")
-    )
-    spread = lambda df, kind: df.withColumn(f"{kind}_part", F.explode(F.sequence(F.lit(0), F.col(f"{kind}_parts") - 1)))
-    pairs = spread(found.join(sizes("t", "n_train"), "t").join(sizes("e", "n_eval"), "e"), "t").join(side("t", True, "n_train"), ["t", "t_part"])
-    pairs = spread(pairs, "e").join(side("e", False, "n_eval"), ["e", "e_part"])
+    found = cut(found.drop("covered"))
+    release(df.sparkSession)
+    ids = found.select(F.explode(F.array("t", "e")).alias("cid")).distinct()
+    matched = maybe_in(classes.select("cid", "k", "x", "n_train", "n_eval"), "cid", bitmap(ids, "cid", CLASS_BITS), CLASS_BITS).join(ids, "cid", "left_semi")
+    matched = cut(matched)
+    own = maybe_in(members.select("rid", (F.col("split") == train).alias("is_train"), "k", "x"), "x", bitmap(matched, "x", CLASS_BITS), CLASS_BITS)
+    rows = _parted(matched, own).select("cid", "n_train", "n_eval", "rid", "is_train")
+    pairs = _expanded(found, rows)
     return pairs.select(F.least("rt", "re").alias("row_id_a"), F.greatest("rt", "re").alias("row_id_b"))
 
 
@@ -409,9 +414,7 @@ def overlap_classes(df: DataFrame, split_col: str = "split", train: str = "train
     they are the evaluation side. No group of copies is multiplied out."""
     classes, _, found = _prepared(df.withColumn("source", F.lit(None).cast("string")), split_col, train, id_col, first, second, SCALES)
     sizes = classes.select("cid", "n_train", "n_eval")
-    found = cut(found.select("t", "e"))
-    size = lambda kind, n: sizes.select(F.col("cid").alias(kind), F.col(n).alias(f"{kind}_rows"))
-    counted = found.join(size("t", "n_train"), "t").join(size("e", "n_eval"), "e")
+    counted = cut(found.select("t", "e", F.col("n_train").alias("t_rows"), F.col("n_eval").alias("e_rows")))
     other = F.col("t") != F.col("e")
     both = counted.select(F.col("e").alias("cid"), F.when(other, F.col("t_rows")).otherwise(0).alias("lt"), F.lit(0).cast("long").alias("le"), (F.col("t_rows") * F.col("e_rows")).alias("links")).unionByName(
         counted.where(other).select(F.col("t").alias("cid"), F.lit(0).cast("long").alias("lt"), F.col("e_rows").alias("le"), F.lit(0).cast("long").alias("links"))
@@ -426,8 +429,7 @@ def overlap_report(df: DataFrame, split_col: str = "split", train: str = "train"
     """
     classes, members, found = _prepared(df.withColumn("source", F.col(source_col)), split_col, train, id_col, first, second, SCALES)
     hit = (
-        found.join(classes.select(F.col("cid").alias("t"), "n_train"), "t")
-        .groupBy("e")
+        found.groupBy("e")
         .agg(F.sum("n_train").alias("partners"), F.max("covered").alias("covered"))
         .join(classes.select(F.col("cid").alias("e"), "k", "x", (F.length("a") + F.length("b")).alias("size")), "e")
         .select("k", "x", "partners", F.least(F.lit(1.0), F.col("covered") / F.greatest(F.col("size"), F.lit(1))).alias("coverage"))
