@@ -8,6 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 
 from hablon.plans.workers import prepared
@@ -15,7 +16,8 @@ from hablon.plans.workers import prepared
 RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # fixed value: the public pre-split pattern of the rank files
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-PIECE = 1 << 16  # characters encoded at once; texts are cut before white space only
+_SPLIT = regex.compile(SPLIT)
+PIECE = 1 << 16  # characters that are encoded at once; longer texts are cut between pre-tokens
 
 
 @lru_cache(maxsize=2)
@@ -28,22 +30,22 @@ def encoder(path: str = RANKS):
 
 
 def encode(text: str | None, path: str = RANKS) -> list[int]:
-    """Ids of a text; NULL and empty texts have none. Very long texts are encoded in pieces cut between words."""
+    """Ids of a text; NULL and empty texts have none. Very long texts are encoded in pieces, which end where a pre-token
+    ends, so that the ids are those of the whole text."""
     if not text:
         return []
     enc = encoder(path)
     if len(text) <= PIECE:
         return enc.encode_ordinary(text)
     out, at = [], 0
-    while at < len(text):
-        end = min(len(text), at + PIECE)
-        if end < len(text):
-            # a cut before a single blank that follows and precedes other characters is a cut between pre-tokens
-            cut = next((i for i in range(end, at, -1) if text[i] == " " and not text[i - 1].isspace() and not text[i + 1 : i + 2].isspace()), end)
-            end = cut
-        out += enc.encode_ordinary(text[at:end])
-        at = end
-    return out
+    for m in _SPLIT.finditer(text):
+        if m.end() - at >= PIECE:
+            # a pre-token is merged by itself; one of great length would exhaust the pattern matcher
+            if m.start() > at:
+                out += enc.encode_ordinary(text[at : m.start()])
+            out += enc._encode_single_piece(m.group())
+            at = m.end()
+    return out + enc.encode_ordinary(text[at:])
 
 
 def token_counts(df: DataFrame, text_col: str, keep: list[str], path: str = RANKS) -> DataFrame:
