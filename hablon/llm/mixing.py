@@ -15,8 +15,8 @@ from hablon.plans.lineage import cut
 from hablon.plans.workers import prepared
 
 BLOCK = 256  # tokens of a block
-MAX_SHARDS = 4096  # the table of shard counts has at most so many rows
-LEAST_SLOTS = 256  # slots of a shard, unless the mixture is smaller
+GROUPS = 4096  # the table of counts that the driver draws has at most so many rows
+LEAST_SLOTS, MOST_SLOTS = 256, 65_536  # slots of a shard, unless the mixture is smaller
 
 
 def _round_hash(right: np.ndarray, key: np.uint64) -> np.ndarray:
@@ -53,7 +53,7 @@ def permute(index: np.ndarray, n: int, seed: int, source: int, repeat: int, inve
     return out.astype(np.int64)
 
 
-def shard_counts(quotas: list[int], slots: int, seed: int) -> np.ndarray:
+def shard_counts(quotas: list[int] | np.ndarray, slots: int, seed: int | list[int]) -> np.ndarray:
     """Source counts of each output shard: multinomial draws over what remains of each quota, which is used up exactly."""
     rng = np.random.default_rng(seed)
     left = np.array(quotas, np.int64)
@@ -133,20 +133,31 @@ def mix(
     total = sum(quotas)
     if not total:
         return spark.createDataFrame([], schema)
-    per_shard = max(LEAST_SLOTS, -(-total // MAX_SHARDS))
-    counts = shard_counts(quotas, per_shard, seed)
-    base = np.cumsum(counts, axis=0) - counts
+    # counts of groups are drawn here, those of the shards of a group where they are needed: both tables are bounded
+    per_group = max(LEAST_SLOTS, -(-total // GROUPS))
+    per_shard = min(per_group, MOST_SLOTS)
+    inner = -(-per_group // per_shard)  # shards of a group
+    groups = shard_counts(quotas, per_group, seed)
+    group_base = np.cumsum(groups, axis=0) - groups
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, counts, base = -1, groups, group_base
         for batch in batches:
             for shard in batch["id"]:
-                order = np.random.default_rng([seed, int(shard)]).permutation(int(counts[shard].sum()))
+                if shard // inner != group:
+                    group = int(shard // inner)
+                    counts = groups[group : group + 1] if inner == 1 else shard_counts(groups[group], per_shard, [seed, group])
+                    base = group_base[group] + np.cumsum(counts, axis=0) - counts
+                k = int(shard % inner)
+                if k >= len(counts):
+                    continue
+                order = np.random.default_rng([seed, int(shard)]).permutation(int(counts[k].sum()))
                 at = 0
                 for s, name in enumerate(names):
-                    n = int(counts[shard, s])
+                    n = int(counts[k, s])
                     if not n:
                         continue
-                    j = base[shard, s] + np.arange(n)
+                    j = base[k, s] + np.arange(n)
                     repeat, place = j // blocks[s], j % blocks[s]
                     picked = np.empty(n, np.int64)
                     for r in np.unique(repeat):
@@ -154,7 +165,7 @@ def mix(
                     yield pd.DataFrame({"shard": np.int32(shard), "slot": order[at : at + n], "source": name, "repeat_no": repeat.astype(np.int32), "block_no": picked})
                     at += n
 
-    slots = prepared(spark.range(len(counts))).mapInPandas(draw, "shard int, slot long, source string, repeat_no int, block_no long")
+    slots = prepared(spark.range(len(groups) * inner)).mapInPandas(draw, "shard int, slot long, source string, repeat_no int, block_no long")
 
     def used(source: str, numbers: np.ndarray) -> np.ndarray:
         s = names.index(source)
