@@ -54,12 +54,14 @@ class Model:
         known = self.words.get(word)
         if known is not None:
             return known
+        if name_like:
+            return np.zeros(len(CODES))
         marked = f"<{word}>"
         for n in range(LONGEST_GRAM, 0, -1):
             table = self.grams[n]
             hits = [table[g] for i in range(len(marked) - n + 1) if (g := marked[i : i + n]) in table]
             if len(hits) * 2 >= max(1, len(marked) - n + 1):
-                return np.clip(np.mean(hits, axis=0), -2.0, 2.0) * (0.0 if name_like else 1.0)
+                return np.clip(np.mean(hits, axis=0), -2.0, 2.0)
         return np.zeros(len(CODES))
 
 
