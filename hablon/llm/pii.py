@@ -7,9 +7,10 @@ about persons (pointwise mutual information). Terms beyond the disclosure thresh
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -24,6 +25,7 @@ LEAST_SEEN = 3  # seeds that a term needs at least
 LEAST_TITLES = 8  # the same for the words before an honorific initial
 MODEL_ROWS = 300_000  # terms up to which the whole model goes to every task; of larger ones each text gets what it holds
 ENDING = 4
+PUBLIC_NATS, LEAST_PUBLIC = 1.0, 100  # an identifier that carries less information, and is in so many texts, is public
 
 # fixed values: honorifics and personal articles of the languages of the corpus
 HONORIFICS = ("Mr", "Mrs", "Ms", "Dr", "Dra", "Atty", "Engr", "Kap", "Kgd", "Gng", "Bb", "Hon", "Prof", "Sra", "Rev", "Fr", "Sgt")
@@ -59,8 +61,11 @@ EMAIL = re.compile(
     r"(?<![\w.+-])[A-Za-z0-9](?:[\w.+-]*\w)?(?:\s?@\s?|\s*[\[(]\s*(?i:at)\s*[\])]\s*)" + _LABEL + r"(?:" + _DOT + _LABEL + r")+"
     r"|(?<![\w.+-])[A-Za-z0-9](?:[\w.+-]*\w)?\s+(?i:at)\s+" + _LABEL + r"(?:(?:\s+(?i:dot)\s+|\s*[\[(]\s*(?i:dot)\s*[\])]\s*)" + _LABEL + r")+"
 )
-AT = re.compile(r"@|[(\[]\s*(?:at|AT)\s*[)\]]|\s(?:at|AT)\s+\S+\s+(?:dot|DOT)\s")
 _S = r"[\s.\-–‑]?"
+# formats of numbers by region; callers may pass their own
+WORLD_PHONE = re.compile(r"\+(?<![\w+.].)[1-9]\d{0,2}(?:[\s.\-–](?:\(\d{1,5}\)|\d{1,9})){1,5}(?![\w]|[.\-–]\d)")
+GB_PHONE = re.compile(r"0(?<![\w+.\-–].)(?:20\s\d{4}\s\d{4}|1\d{2,3}\s\d{3}\s\d{3,4}|7\d{3}\s\d{6})(?![\w]|[.\-–]\d)")
+US_ID = re.compile(r"\d(?<![\w.\-–+].)\d{2}-\d{2}-\d{4}(?![\w]|[.\-–]\d)")
 PHONE = re.compile(
     r"[+(0](?<![\w+.\-–].)(?:(?<=\+)63" + _S + r"\(?9\d{2}\)?" + _S + r"\d{3}" + _S + r"\d{4}|(?<=0)063" + _S + r"\(?9\d{2}\)?" + _S + r"\d{3}" + _S + r"\d{4}"
     r"|(?<=0)9(?:\d{2}" + _S + r"\d{3}" + _S + r"\d{4}|\s\d{3}\s\d{3}\s\d{3})|(?<=\()09\d{2}\)" + _S + r"\d{3}" + _S + r"\d{4}"
@@ -80,7 +85,15 @@ _HOUSE = r"(?:(?i:house|bldg|building|balay|bahay|room|rm|floor|unit|lot|blk|blo
 ADDRESS = re.compile(
     r"(?<![\w#-])(?:" + _HOUSE + r"(?:[\s,]+" + _HOUSE + r")*(?:[\s,]+(?:" + _ROAD + r"|(?:(?!(?i:brgy|barangay|sitio)\b)" + _PLACE + r"\s+){1,2}" + _STREET + r"))?|" + _ROAD + r")" + _MORE + r"+"
 )
-KEYWORD = re.compile(r"[SARDLBEVPZCK#](?:treet|TREET|t\.|T\.|ve\b|VE\b|venue|VENUE|oad\b|OAD\b|d\.|D\.|rive\b|ane\b|oulevard|lvd|rgy|RGY|arangay|ARANGAY|itio|ITIO|illage|ubd|urok|UROK|one \d|alan |ALAN |alle |alye |\d)")
+SPELLED_AT = re.compile(r"[\s\[(](?:[aA][tT])[\s\])]")
+
+
+@dataclass(frozen=True)
+class Formats:
+    """Patterns of numbers by kind."""
+
+    phone: tuple[re.Pattern, ...] = (PHONE, WORLD_PHONE, GB_PHONE)
+    id_number: tuple[re.Pattern, ...] = (ID_NUMBER, US_ID)
 
 
 @dataclass
@@ -90,18 +103,23 @@ class Model:
     given: dict[str, float]
     endings: dict[str, float]
     titles: set[str]
+    public: set[str] = field(default_factory=set)
 
 
 def observe(texts: Iterator[str | None]) -> Counter:
     """Counts of terms by role over some texts: ``t`` any capitalised word, ``g`` a first name beside a seed, ``e`` and
     ``f`` endings of any word and of family names, ``i`` initials with the two words before.
 
+    ``p`` counts the texts that hold a patterned identifier, ``d`` all texts.
     A seed is a personal article or an honorific. Words in capitals only are left out, where case tells nothing.
     """
     words, out = Counter(), Counter()
     for text in texts:
         if not text:
             continue
+        out["d", ""] += 1
+        for identifier in {text[a:b] for a, b, _ in patterned(text)}:
+            out["p", identifier] += 1
         title_end = -9
         for m in TOKEN.finditer(text):
             w, s = m.group(), m.start()
@@ -161,7 +179,18 @@ def learned(df: DataFrame, text_col: str = "text") -> DataFrame:
     i = counts.where(F.col("role") == "i").select(F.substring_index("term", "|", 1).alias("before"), F.substring_index("term", "|", -1).alias("letter"), "n")
     whole = i.groupBy("before").agg(F.sum("n").alias("every"), F.max(F.struct("n", "letter")).alias("top")).where((F.col("every") >= LEAST_TITLES) & (F.col("top.n") > 0.8 * F.col("every")))
     titles = whole.select(F.lit("i").alias("role"), F.concat_ws(" ", "before", "top.letter").alias("term"), F.lit(1.0).alias("value"))
-    return informed("g", "t", DISCLOSURE).unionByName(informed("f", "e", ENDING_DISCLOSURE)).unionByName(titles)
+    # what an identifier tells about a person is how few texts hold it; at most e^PUBLIC_NATS per identifier of a text are public
+    told = F.log(F.lit(float(totals.get("d", 1))) / F.col("n"))
+    public = counts.where((F.col("role") == "p") & (F.col("n") >= LEAST_PUBLIC)).select("role", "term", told.alias("value")).where(F.col("value") < PUBLIC_NATS)
+    return informed("g", "t", DISCLOSURE).unionByName(informed("f", "e", ENDING_DISCLOSURE)).unionByName(titles).unionByName(public)
+
+
+def disclosure(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """``term, n, nats``: how strongly each patterned identifier of a corpus discloses whom a text is about: the
+    self-information of meeting it in a text."""
+    counts = statistics(df, text_col)
+    texts = counts.where("role = 'd'").agg(F.coalesce(F.sum("n"), F.lit(1)).alias("texts"))
+    return counts.where("role = 'p'").join(F.broadcast(texts)).select("term", "n", F.log(F.col("texts") / F.col("n")).alias("nats"))
 
 
 def _model(rows: Iterable) -> Model:
@@ -169,6 +198,8 @@ def _model(rows: Iterable) -> Model:
     for r in rows:
         if r["role"] == "i":
             model.titles.add(r["term"])
+        elif r["role"] == "p":
+            model.public.add(r["term"])
         else:
             (model.given if r["role"] == "g" else model.endings)[r["term"]] = r["value"]
     return model
@@ -181,7 +212,7 @@ def learn(df: DataFrame, text_col: str = "text") -> Model:
 
 def _asked(text: str) -> set[tuple[str, str]]:
     """The roles and terms of a model that ``names`` may look up in a text."""
-    out = set()
+    out = {("p", text[a:b]) for a, b, _ in patterned(text)}
     for m in TOKEN.finditer(text):
         word, start = m.group(), m.start()
         out |= {("g", word.lower()), ("f", word.lower()[-ENDING:])}
@@ -240,44 +271,99 @@ def names(text: str, model: Model) -> list[tuple[int, int]]:
     return out
 
 
-def _around(pattern: re.Pattern, anchor: re.Pattern, text: str, before: int, after: int, kind: str) -> Iterator[tuple[int, int, str]]:
-    """Matches of ``pattern`` in the surroundings of its anchors; overlapping surroundings are searched as one."""
+def _regions(anchors: Iterable[tuple[int, int]], text: str) -> Iterator[tuple[int, int]]:
+    """Surroundings of anchors that begin and end at blanks; overlapping ones are one."""
     low = high = -1
-    for m in anchor.finditer(text):
-        a, b = max(0, m.start() - before), min(len(text), m.end() + after)
+    for a, b in anchors:
+        a = max(text.rfind(" ", 0, max(0, a - 90)), text.rfind("\n", 0, max(0, a - 90)), 0)
+        b = next((i for i in (text.find(" ", b + 160),) if i >= 0), len(text))
         if a > high:
             if high >= 0:
-                yield from ((*f.span(), kind) for f in pattern.finditer(text, low, high))
+                yield low, high
             low = a
-        high = b
+        high = max(high, b)
     if high >= 0:
-        yield from ((*f.span(), kind) for f in pattern.finditer(text, low, high))
+        yield low, high
+
+
+def _around(pattern: re.Pattern, anchors: Iterable[tuple[int, int]], text: str, kind: str) -> Iterator[tuple[int, int, str]]:
+    """Matches of ``pattern`` in the surroundings of its anchors. A match that comes near the end of its surroundings is looked
+    for again in ever larger ones, so that none is cut."""
+    done = 0
+    for low, high in _regions(anchors, text):
+        low = max(low, done)
+        while low < high:
+            found = list(pattern.finditer(text, low, high))
+            if found and found[-1].end() > high - 80 and high < len(text):
+                high = min(len(text), high + 2 * (high - low))
+                continue
+            yield from ((*m.span(), kind) for m in found)
+            break
+        done = max(done, high)
+
+
+def _number_anchors(text: str) -> Iterator[tuple[int, int]]:
+    """Places of numbers that may begin an address: after a mark or a word of a house, or before a name or a road."""
+    for m in NUMBER.finditer(text):
+        yield m.span()
 
 
-def patterned(text: str) -> list[tuple[int, int, str]]:
+NUMBER = re.compile(r"\d(?<![\w.,:/+-].)\d{0,5}(?:-?[A-Z])?(?=\s+[A-ZÀ-ÖØ-Þdck]|\s*,)")
+
+
+def _take(taken: list[tuple[int, int, str]], span: tuple[int, int, str]) -> None:
+    """Puts a span among sorted ones unless it overlaps one of them."""
+    at = bisect_left(taken, span)
+    if (at == 0 or taken[at - 1][1] <= span[0]) and (at == len(taken) or taken[at][0] >= span[1]):
+        taken.insert(at, span)
+
+
+LEAST_DIGITS = 7  # of a number
+
+
+def patterned(text: str, formats: Formats = Formats()) -> list[tuple[int, int, str]]:
     """Mail addresses, phone numbers, identity numbers and street addresses. A bare house, block or lot number without a
     place is no address."""
-    out = [(*m.span(), "phone") for m in PHONE.finditer(text)]
-    out += [(*m.span(), "id_number") for m in ID_NUMBER.finditer(text)]
-    out += _around(EMAIL, AT, text, 90, 120, "email")
-    out += _around(ADDRESS, KEYWORD, text, 90, 160, "address")
+    out = []
+    for kind, patterns in (("phone", formats.phone), ("id_number", formats.id_number)):
+        taken: list[tuple[int, int, str]] = []
+        for p in patterns:  # of overlapping matches that of the first format counts
+            for m in p.finditer(text):
+                if sum(c.isdigit() for c in m.group()) >= LEAST_DIGITS:
+                    _take(taken, (*m.span(), kind))
+        out += taken
+    low = text.lower()
+    at = [(i, i + 1) for i in _places(text, "@")]
+    if "dot" in low or "punto" in low:
+        at = sorted([*at, *(m.span() for m in SPELLED_AT.finditer(text))])
+    elif "[" in low or "(" in low:
+        at = sorted([*at, *(m.span() for m in SPELLED_AT.finditer(text) if text[m.start()] in "[(")])
+    out += _around(EMAIL, at, text, "email")
+    if "," in text:
+        out += _around(ADDRESS, _number_anchors(text), text, "address")
     return out
 
 
+def _places(text: str, mark: str) -> Iterator[int]:
+    i = text.find(mark)
+    while i >= 0:
+        yield i
+        i = text.find(mark, i + 1)
+
+
 PRIORITY = {"email": 0, "address": 1, "phone": 2, "id_number": 3, "name": 4}
 
 
-def find(text: str | None, model: Model) -> list[tuple[int, int, str]]:
-    """Non-overlapping spans in order; of overlapping ones the kind first in ``PRIORITY``, then the longer one stays."""
+def find(text: str | None, model: Model, formats: Formats = Formats()) -> list[tuple[int, int, str]]:
+    """Non-overlapping spans in order, without identifiers that the corpus shows to be public; of overlapping ones the kind first in ``PRIORITY``, then the longer one stays."""
     if not text:
         return []
-    spans = patterned(text) + [(a, b, "name") for a, b in names(text, model)]
+    spans = [s for s in patterned(text, formats) if text[s[0] : s[1]] not in model.public] + [(a, b, "name") for a, b in names(text, model)]
     spans.sort(key=lambda s: (PRIORITY[s[2]], s[0] - s[1], s[0]))
     taken: list[tuple[int, int, str]] = []
     for s in spans:
-        if all(s[1] <= t[0] or s[0] >= t[1] for t in taken):
-            taken.append(s)
-    return sorted(taken)
+        _take(taken, s)
+    return taken
 
 
 def redact(text: str | None, spans: list[tuple[int, int, str]]) -> str | None:

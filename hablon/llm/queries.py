@@ -79,8 +79,12 @@ def p9_sanitised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.sanitise(table(spark, sf_dir, "documents"))
 
 
+def p9_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.disclosure(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_report, p1_classes, p2_found, p3_found, p3_roles, p4_found, p4_rows, p4_segments, p5_found, p5_collapsed, p7_packed, p7_report, p8_mixture, p8_shares, p9_found, p9_sanitised)}
+    return {f.__name__: f for f in (p1_found, p1_report, p1_classes, p2_found, p3_found, p3_roles, p4_found, p4_rows, p4_segments, p5_found, p5_collapsed, p7_packed, p7_report, p8_mixture, p8_shares, p9_found, p9_sanitised, p9_disclosure)}
 
 
 _CANON = r"regexp_replace(lower(coalesce({c}, '')), '[^\p{{L}}\p{{N}}]+', '', 'g')"
