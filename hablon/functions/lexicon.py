@@ -143,11 +143,20 @@ def correct(x: Column | str, mapping: Column) -> Column:
 
 
 def changed_tokens(original: Column, corrected: Column) -> Column:
-    """Tokens of ``corrected`` with whether the original has them; tokens of punctuation only always count as changed."""
-    bare = lambda t: F.regexp_replace(F.lower(t), r"[^\p{L}\p{N}_]", "")
-    cut = lambda c: F.filter(F.split(c, r"(?U)\s+"), lambda t: t != "")
-    known = F.filter(F.transform(cut(original), bare), lambda t: t != "")
-    return F.transform(cut(corrected), lambda t: F.struct(t.alias("token"), (~F.array_contains(known, bare(t))).alias("changed")))
+    """White-space separated tokens of ``corrected`` with whether the words of ``original`` miss them, compared without case,
+    accents and marks; tokens of marks only always count as changed."""
+    fold = lambda t: strip_diacritics(F.lower(t))
+    known = F.transform(F.regexp_extract_all(F.lower(original), F.lit(r"[\p{L}\p{N}_]+"), 0), fold)
+    bare = lambda t: fold(F.regexp_replace(F.lower(t), r"[^\p{L}\p{N}_]+", ""))
+    return F.transform(F.regexp_extract_all(corrected, F.lit(r"(?U)\S+"), 0), lambda t: F.struct(t.alias("token"), (~F.array_contains(known, bare(t))).alias("changed")))
+
+
+def correction(x: Column | str, mapping: Column) -> Column:
+    """``original, corrected, diff, orig_diff`` of a text that ``correct`` changes: the tokens of each version with whether the
+    other one misses them. NULL for a text that stays as it is, and for NULL."""
+    x = F.col(x) if isinstance(x, str) else x
+    y = correct(x, mapping)
+    return F.when(y != x, F.struct(x.alias("original"), y.alias("corrected"), changed_tokens(x, y).alias("diff"), changed_tokens(y, x).alias("orig_diff")))
 
 
 def spell_issues(x: Column | str, mapping: Column, custom: Column) -> Column:
@@ -181,11 +190,16 @@ def splice(x: Column | str, start: Column, end: Column, new: Column) -> Column:
 
 
 def find_spans(x: Column | str, pattern: str, ignore_case: bool = False, literal: bool = False) -> Column:
-    """``start, end`` of all matches that are not empty, by walking over what lies between them."""
+    """``start, end`` of all matches that are not empty, in one walk over what lies between them."""
     x = F.col(x) if isinstance(x, str) else x
     p = ("(?iu)" if ignore_case else "") + (re.escape(pattern) if literal else pattern)
     hits = F.filter(F.regexp_extract_all(x, F.lit(p), 0), lambda h: h != "")
-    offsets = F.transform(F.split(x, p, -1), lambda g: F.length(g))
-    sizes = F.transform(hits, lambda h: F.length(h))
-    before = lambda i: F.aggregate(F.slice(offsets, 1, i + 1), F.lit(0), lambda a, b: a + b) + F.aggregate(F.slice(sizes, 1, i), F.lit(0), lambda a, b: a + b)
-    return F.transform(hits, lambda h, i: F.struct(before(i).alias("start"), (before(i) + F.length(h)).alias("end")))
+    steps = F.zip_with(hits, F.split(x, p, -1), lambda h, g: F.struct(F.length(g).alias("gap"), F.length(h).alias("size"), h.isNotNull().alias("hit")))
+    none = F.array().cast("array<struct<start:int,end:int>>")
+
+    def step(acc: Column, s: Column) -> Column:
+        start = acc["at"] + F.coalesce(s["gap"], F.lit(0))
+        end = start + F.coalesce(s["size"], F.lit(0))
+        return F.struct(end.alias("at"), F.when(s["hit"], F.concat(acc["found"], F.array(F.struct(start.alias("start"), end.alias("end"))))).otherwise(acc["found"]).alias("found"))
+
+    return F.aggregate(steps, F.struct(F.lit(0).alias("at"), none.alias("found")), step, lambda acc: acc["found"])

@@ -53,6 +53,34 @@ def strip_html(x: Column | str) -> Column:
     return pytrim(F.regexp_replace(_c(x), TAG, ""))
 
 
+def _code_point(n: Column) -> Column:
+    """The character of a code point; the replacement character where there is none."""
+    valid = (n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")).otherwise("\uFFFD")
+
+
+def entities(x: Column | str) -> Column:
+    """Character references of HTML and XML decoded once: numbers, and names that end with a semicolon. Unknown ones stay."""
+    from html.entities import name2codepoint
+
+    x = _c(x)
+    table = F.create_map(*[F.lit(v) for name, code in sorted({**name2codepoint, "apos": 39}.items()) for v in (name, chr(code))])
+    parts = F.regexp_extract_all(x, F.lit(r"(?s)&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});|[^&]+|&"), 0)
+
+    def one(t: Column) -> Column:
+        decimal = F.regexp_extract(t, r"\A&#(\d+);\z", 1)
+        hexadecimal = F.regexp_extract(t, r"\A&#[xX]([0-9a-fA-F]+);\z", 1)
+        name = F.regexp_extract(t, r"\A&([A-Za-z][A-Za-z0-9]*);\z", 1)
+        return (
+            F.when(decimal != "", _code_point(decimal.cast("int")))
+            .when(hexadecimal != "", _code_point(F.conv(hexadecimal, 16, 10).cast("int")))
+            .when(name != "", F.coalesce(F.element_at(table, name), t))
+            .otherwise(t)
+        )
+
+    return F.when(F.contains(x, F.lit("&")), F.array_join(F.transform(parts, one), "")).otherwise(x)
+
+
 def letters_digits(x: Column | str) -> Column:
     """Lower-cased letters and digits only; NULL counts as empty."""
     return F.regexp_replace(F.lower(F.coalesce(_c(x), F.lit(""))), r"[^\p{L}\p{N}]+", "")

@@ -5,12 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hablon.functions.lexicon import dialect_map
 from hablon.functions.text import pytrim, strip_diacritics
 from hablon.operators.keyed import upsert
 
 
+MOST_RULES = 10_000
+
+
 def phrase_rules(rows: DataFrame, order: str = "line_no") -> tuple[tuple[str, str], ...]:
-    """Ordered (pattern, replacement) rules of a small table; rows with a blank side are left out."""
+    """Ordered (pattern, replacement) rules of a small table; rows with a blank side are left out. Refuses a table of more
+    than ``MOST_RULES`` rows: every rule becomes an expression of the plan."""
+    if rows.limit(MOST_RULES + 1).count() > MOST_RULES:
+        raise ValueError("too many rules for one plan")
     kept = rows.where((pytrim("pattern") != "") & (pytrim("replacement") != "")).orderBy(order)
     return tuple((r.pattern, r.replacement) for r in kept.select(pytrim("pattern").alias("pattern"), pytrim("replacement").alias("replacement")).collect())
 
@@ -67,6 +74,22 @@ def update_collection(collections: DataFrame, key: str, name: str | None = None,
     return out.withColumn("updated_at", F.when(here, F.current_timestamp()).otherwise(F.col("updated_at")))
 
 
+def delete_rows_by_id(rows: DataFrame, collections: DataFrame, ids: DataFrame, key: str = "id", collection: str = "collection_id") -> tuple[DataFrame, DataFrame]:
+    """(``rows`` without those whose id is in ``ids``, ``collections`` with ``row_count`` as it is afterwards). Unknown and
+    repeated ids are harmless; a collection that has lost all rows has 0."""
+    left = rows.join(ids.select(key), key, "left_anti").select(*rows.columns)
+    counted = left.groupBy(F.col(collection).alias("__c")).agg(F.count("*").alias("__n"))
+    count = F.coalesce("__n", F.lit(0)).cast(collections.schema["row_count"].dataType)
+    return left, collections.join(counted, F.col("id") == F.col("__c"), "left").withColumn("row_count", count).select(*collections.columns)
+
+
+def rebuilt_map(entries: DataFrame, extra: DataFrame, base: str = "word", target: str = "target", order: str = "o") -> DataFrame:
+    """The dialect map of a dictionary after its extra entries have changed: these count as later than all others."""
+    own = entries.select(F.col(base).alias("word"), F.col(target).alias("target"), F.struct(F.lit(0).alias("part"), F.col(order).cast("string").alias("at")).alias("o"))
+    more = extra.select(F.col(base).alias("word"), F.col(target).alias("target"), F.struct(F.lit(1).alias("part"), F.col(base).cast("string").alias("at")).alias("o"))
+    return dialect_map(own.unionByName(more), "word", "target", "o")
+
+
 def merged_spans(first: Column, second: Column) -> Column:
     """Spans of two kinds in order of their start; a span that overlaps one already taken is left out."""
     both = F.sort_array(F.concat(first, second))
@@ -79,9 +102,9 @@ def merged_spans(first: Column, second: Column) -> Column:
     return F.aggregate(both, none, step)
 
 
-def longest(df: DataFrame, size: Column, n: int = 20) -> DataFrame:
-    """The n rows of the greatest size, a report."""
-    return df.withColumn("size", size).orderBy(F.desc("size")).limit(n)
+def longest(df: DataFrame, size: Column, n: int = 20, *ties: str) -> DataFrame:
+    """The n rows of the greatest size, a report; of equal ones the first by ``ties``."""
+    return df.withColumn("size", size).orderBy(F.desc("size"), *ties).limit(n)
 
 
 def known_books(df: DataFrame, requested: list[str], books: list[str], col: str = "book") -> DataFrame:
@@ -98,9 +121,12 @@ def files_by_folder(files: DataFrame) -> DataFrame:
 
 
 def print_report(report: DataFrame, most: int = 200) -> str:
-    """A tidy report as text, one metric a line with its mark."""
+    """A tidy report as text, one metric a line with its mark; refuses more than ``most`` metrics."""
     mark = {"bad": "✗", "warn": "!", "ok": "✓"}
-    return "\n".join(f"{mark[r.flag]} {r.metric:<18}{r.value:>12g}{r.pct:>9.2f} %" for r in report.limit(most).collect())
+    rows = report.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} metrics")
+    return "\n".join(f"{mark[r.flag]} {r.metric:<18}{r.value:>12g}{r.pct:>9.2f} %" for r in rows)
 
 
 def empty_collections(spark: SparkSession) -> DataFrame:

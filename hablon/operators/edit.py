@@ -11,9 +11,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hablon.operators.extract import slug
 from hablon.operators.keyed import numbered
 
 POS = "position"
+MOST_LISTED = 1000  # deleted positions that are written into the plan; more are joined
 
 
 def update_cell(df: DataFrame, row: int, col: str, value: str) -> DataFrame:
@@ -26,10 +28,19 @@ def delete_rows(df: DataFrame, rows: list[int]) -> DataFrame:
     gone = sorted(set(rows))
     if not gone:
         return df
+    if len(gone) > MOST_LISTED:
+        return delete_many(df, df.sparkSession.createDataFrame([(r,) for r in gone], f"`{POS}` {df.schema[POS].dataType.simpleString()}"))
     below = F.size(F.filter(F.array(*map(F.lit, gone)), lambda g: g < F.col(POS)))
     return df.where(~F.col(POS).isin(gone)).withColumn(POS, (F.col(POS) - below).cast(df.schema[POS].dataType))
 
 
+def delete_many(df: DataFrame, gone: DataFrame) -> DataFrame:
+    """The same for positions given as a table, which may be of any size: rows are removed by an anti-join and numbered anew."""
+    left = df.join(gone.select(POS), POS, "left_anti").withColumn("__old", F.col(POS))
+    out = numbered(left, "__old")
+    return out.withColumn(POS, (F.col("line_no") - 1).cast(df.schema[POS].dataType)).select(*df.columns)
+
+
 def delete_row(df: DataFrame, row: int) -> DataFrame:
     return delete_rows(df, [row])
 
@@ -91,6 +102,12 @@ def replace_all(df: DataFrame, cols: list[str], pattern: str, new: str) -> DataF
     return df.withColumns({c: F.regexp_replace(F.col(c), pattern, new) for c in cols})
 
 
+def replace_one(df: DataFrame, row: int, col: str, start: int, end: int, new: str) -> DataFrame:
+    """One found span (0-based, end exclusive) of one cell replaced; a row out of range changes nothing."""
+    value = F.overlay(F.col(col), F.lit(new), F.lit(start + 1), F.lit(end - start))
+    return df.withColumn(col, F.when((F.col(POS) == row) & (F.length(col) >= end), value).otherwise(F.col(col)))
+
+
 def next_position(rows: DataFrame, collection: str) -> DataFrame:
     """The place after the last row of each collection."""
     return rows.groupBy(collection).agg((F.coalesce(F.max(POS), F.lit(-1)) + 1).alias("next"))
@@ -120,6 +137,17 @@ def export_lines(rows: DataFrame, headers: list[str], data: str = "data") -> Dat
     return rows.select(POS, F.array_join(cells, "\t").alias("line"))
 
 
+def export(rows: DataFrame, headers: list[str], data: str = "data") -> DataFrame:
+    """``position, line`` of a whole export: the header line at -1, then the rows of ``export_lines``."""
+    head = rows.sparkSession.range(1).select(F.lit(-1).cast(rows.schema[POS].dataType).alias(POS), F.lit("\t".join(headers)).alias("line"))
+    return head.unionByName(export_lines(rows, headers, data))
+
+
+def export_name(name: Column) -> Column:
+    """The file name of an export."""
+    return F.concat(slug(name), F.lit(".tsv"))
+
+
 def map_columns(df: DataFrame, mapping: dict[str, str | None], headers: list[str]) -> DataFrame:
     """File columns brought under collection headers: by the mapping, else by equal name ignoring case, else empty."""
     by_name = {c.lower(): c for c in df.columns}

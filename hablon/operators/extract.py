@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hablon.functions.text import pytrim, sentences, squeeze, tokens, word_count
+from hablon.functions.dom import Node, parse
+from hablon.functions.text import entities, pytrim, sentences, squeeze, tokens, word_count
+from hablon.plans.workers import prepared
 
 LEAST_WORDS, LEAST_CHARS, MOST_CHARS = 5, 40, 600
 # fixed values: marker words of the language test
@@ -51,9 +57,9 @@ def sentence_rows(df: DataFrame, text: str, *keep: str, least_words: int = LEAST
 
 
 def marked_language(x: Column) -> Column:
-    """At least two distinct marker words, or too short to tell."""
+    """At least two distinct marker words, or fewer than four words, which are too few to tell."""
     t = tokens(x)
-    return (F.size(F.regexp_extract_all(x, F.lit(r"(?U)\S+"), 0)) < 4) | (F.size(F.array_intersect(F.array_distinct(t), F.array(*map(F.lit, MARKERS)))) >= 2)
+    return (F.size(t) < 4) | (F.size(F.array_intersect(F.array_distinct(t), F.array(*map(F.lit, MARKERS)))) >= 2)
 
 
 def first_article_only(df: DataFrame, sentence: str, article: str) -> DataFrame:
@@ -75,22 +81,76 @@ def category_totals(kept: DataFrame, category: str, article: str) -> DataFrame:
 
 def paragraphs(pages: DataFrame, html: str, *keep: str) -> DataFrame:
     """``keep``, ``index`` (1-based over all paragraphs) and text of the paragraphs that are not empty. Scripts and
-    comments are no paragraphs."""
+    comments are no paragraphs. Each stretch of text between tags is stripped and the stretches are joined without a
+    blank, as stored pages have them."""
     body = F.regexp_replace(F.coalesce(F.col(html), F.lit("")), r"(?is)<(script|style)\b.*?</\1>|<!--.*?-->", "")
     cells = F.regexp_extract_all(body, F.lit(r"(?is)<p(?:\s[^>]*)?>(.*?)</p>"), 1)
     p = pages.select(*keep, F.posexplode(cells).alias("i", "h"))
-    return p.select(*keep, (F.col("i") + 1).alias("index"), pytrim(F.regexp_replace("h", r"<[^>]+>", "")).alias("text")).where("text <> ''")
+    return p.select(*keep, (F.col("i") + 1).alias("index"), F.array_join(F.transform(F.split("h", r"<[^>]+>"), lambda t: pytrim(entities(t))), "").alias("text")).where("text <> ''")
+
+
+# fixed value: selectors of page furniture, tags and classes
+CHROME_TAGS, CHROME_CLASSES = ("nav", "header", "footer"), ("td-header-wrap", "td-footer-container")
+
+
+def _chrome(node: Node) -> bool:
+    return node.tag in CHROME_TAGS or any(c in CHROME_CLASSES for c in node.classes())
+
+
+def _article(html: str | None) -> tuple[str, list[str]]:
+    root = parse(html)
+    nodes = list(root.walk())
+    heading = next((n for n in nodes if n.tag == "h1"), None)
+    article = next((n for n in nodes if n.tag == "article"), None)
+    inside = article.walk() if article is not None else root.walk(_chrome)
+    return heading.text() if heading is not None else "", [n.text(" ") for n in inside if n.tag == "p"]
+
+
+def _per_page(pages: DataFrame, html: str, keep: tuple[str, ...], fields: str, rows_of: Callable[[str | None], list[tuple]]) -> DataFrame:
+    """``keep`` and the rows that ``rows_of`` makes of each page, parsed in Arrow batches."""
+    schema = [f.strip().split() for f in fields.split(",")]
+    kinds = {"string": pa.string(), "int": pa.int32()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(i, *row) for i, h in enumerate(batch.column(html).to_pylist()) for row in rows_of(h)]
+            at = pa.array([r[0] for r in found], pa.int64())
+            made = [pa.array([r[k + 1] for r in found], kinds[t]) for k, (_, t) in enumerate(schema)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in keep), *made], [*keep, *(n for n, _ in schema)])
+
+    kept = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in keep)
+    return prepared(pages).select(*keep, html).mapInArrow(run, f"{kept + ', ' if kept else ''}{', '.join(f'`{n}` {t}' for n, t in schema)}")
+
+
+def article_blocks(pages: DataFrame, html: str, *keep: str) -> DataFrame:
+    """``keep``, ``part``, ``text`` of stored article pages: part 0 is the first main heading, the others are the
+    paragraphs of the first article element, or, in a page without one, those outside navigation, header and footer.
+
+    Text around inline elements is kept apart by a blank, white space is collapsed, bracketed numbers go. A page without a
+    heading has an empty part 0. NULL and empty pages have that part only.
+    """
+    def rows(page: str | None) -> list[tuple]:
+        heading, body = _article(page)
+        return [(i, t) for i, t in enumerate([heading, *body])]
+
+    return _per_page(pages, html, keep, "part int, text string", rows).withColumn("text", numbered_removed(F.col("text")))
+
+
+def article_sentences(pages: DataFrame, html: str, *keep: str) -> DataFrame:
+    """``keep``, ``part``, ``pos``, ``sentence``: sentences of acceptable length of stored article pages, those of the
+    heading first."""
+    return sentence_rows(article_blocks(pages, html, *keep), "text", *keep, "part")
 
 
-def title(html: Column) -> Column:
-    """Text of the first main heading; empty if there is none."""
-    return pytrim(F.regexp_replace(F.regexp_extract(html, r"(?is)<h1[^>]*>(.*?)</h1>", 1), r"<[^>]+>", ""))
+def titles(pages: DataFrame, html: str, *keep: str) -> DataFrame:
+    """``keep``, ``title``: the first main heading of each page, empty if there is none."""
+    return article_blocks(pages, html, *keep).where("part = 0").select(*keep, F.col("text").alias("title"))
 
 
-def article_html(html: Column) -> Column:
-    """What lies in the article element, or else the page without navigation, header and footer."""
-    inner = F.regexp_extract(html, r"(?is)<article[^>]*>(.*)</article>", 1)
-    return F.when(inner != "", inner).otherwise(F.regexp_replace(html, r"(?is)<(nav|header|footer)\b.*?</\1>", ""))
+def crawl_log(pages: DataFrame, html: str, url: str, category: str) -> DataFrame:
+    """``url, category, title, kept``: what a crawl logs of each page: its heading and how many sentences it has kept."""
+    kept = article_sentences(pages, html, url).where(marked_language(F.col("sentence"))).groupBy(url).agg(F.count("*").alias("kept"))
+    return pages.select(url, category).join(titles(pages, html, url), url).join(kept, url, "left").select(url, category, "title", F.coalesce("kept", F.lit(0)).cast("int").alias("kept"))
 
 
 def category_links(pages: DataFrame, html: str, category: str, page_no: str, base: str, most: int) -> DataFrame:
@@ -103,14 +163,55 @@ def category_links(pages: DataFrame, html: str, category: str, page_no: str, bas
     return first.withColumn("n", F.row_number().over(Window.partitionBy(category).orderBy("at"))).where(F.col("n") <= most).select(category, "url", "n")
 
 
-def verses(pages: DataFrame, html: str, *keep: str) -> DataFrame:
-    """``keep``, book, chapter, verse and text from elements with a three-part verse key; of nested elements only the
-    innermost text counts, of repeated keys the last."""
-    cells = F.regexp_extract_all(F.col(html), F.lit(r"""(?is)(<span\b[^>]*data-usfm=["'][A-Z0-9]+\.\d+\.\d+["'][^>]*>[^<]+)"""), 1)
-    v = pages.select(*keep, F.posexplode(cells).alias("pos", "c"))
-    key = F.split(F.regexp_extract("c", r"""data-usfm=["']([A-Z0-9]+\.\d+\.\d+)["']""", 1), r"\.")
-    v = v.select(*keep, "pos", key[0].alias("book"), key[1].cast("int").alias("chapter"), key[2].cast("int").alias("verse"), verse_text(F.regexp_extract("c", r"(?s)>([^<]+)\z", 1)).alias("text"))
-    return v.where("text <> ''").groupBy(*keep, "book", "chapter", "verse").agg(F.max_by("text", "pos").alias("text"))
+_LABEL = re.compile("label|number")
+_INTEGER = re.compile(r"\s*[+-]?\d+\s*\Z")
+
+
+def _keyed_verses(root: Node) -> list[tuple[str, str, int, str]]:
+    out = []
+    for span in root.walk():
+        parts = span.attrs.get("data-usfm", "").split(".")
+        if span.tag != "span" or len(parts) != 3 or not _INTEGER.match(parts[2]):
+            continue
+        inner = [w for n in span.walk() if n.tag in ("span", "p") and (w := n.words())]
+        out.append((parts[0], parts[1], int(parts[2]), " ".join(inner) or span.words()))
+    return out
+
+
+def _labelled_verses(root: Node) -> list[tuple[int, str]]:
+    out = []
+    for node in root.walk():
+        above = node.parent
+        while above is not None and "verse" not in above.attrs.get("class", ""):
+            above = above.parent
+        if "content" not in node.attrs.get("class", "") or above is None or not node.words():
+            continue
+        label = next((n.words() for n in node.parent.walk() if any(_LABEL.search(c) for c in n.classes())), "")
+        if _INTEGER.match(label) and int(label):
+            out.append((int(label), node.words()))
+    return out
+
+
+def verses(pages: DataFrame, html: str, *keep: str, book: str | None = None, chapter: str | None = None) -> DataFrame:
+    """``keep``, book, chapter, verse and text of stored chapter pages.
+
+    Verses are spans with a three-part key that ends in a number; their text is that of the spans and paragraphs
+    they hold, nested ones again, or else their own. A page without any gives the elements of a ``content`` class inside a
+    ``verse`` class that stand beside a numbered label; book and chapter come from the columns ``book`` and
+    ``chapter`` then, and are empty without these. Leading numbers and references are removed; of a repeated key the last text counts, of
+    blank ones none. NULL and empty pages have no verses.
+    """
+
+    def rows(page: str | None) -> list[tuple]:
+        root = parse(page)
+        keyed = [(i, b, c, n, t) for i, (b, c, n, t) in enumerate(_keyed_verses(root)) if re.sub(r"^\s*\d+\s*|\[\w+\]|\s", "", t)]
+        return keyed or [(i, None, None, n, t) for i, (n, t) in enumerate(_labelled_verses(root))]
+
+    extra = tuple(c for c in (book, chapter) if c is not None and c not in keep)
+    v = _per_page(pages, html, (*keep, *extra), "at int, b string, c string, verse int, raw string", rows)
+    known = lambda c, name: F.coalesce(c, F.col(name).cast("string") if name else F.lit(None), F.lit(""))
+    v = v.select(*keep, "at", known(F.col("b"), book).alias("book"), known(F.col("c"), chapter).try_cast("int").alias("chapter"), "verse", verse_text(F.col("raw")).alias("text"))
+    return v.where("text <> ''").groupBy(*keep, "book", "chapter", "verse").agg(F.max_by("text", "at").alias("text"))
 
 
 def slug(x: Column) -> Column:

@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-RANGES = 64  # ranges of the order key that are numbered side by side
-SAMPLE = 6400  # keys about which the bounds of the ranges are guessed; they decide on balance only
+RANGES, MOST_RANGES = 64, 1024  # ranges of the order key that are numbered side by side, at least and at most
+RANGE_ROWS = 1_000_000  # rows of a range beyond the least number of ranges
+SAMPLE = 100  # keys a range about which the bounds of the ranges are guessed; they decide on balance only
+
+
+def _range_of(key: Column, bounds: list) -> Column:
+    """How many of the sorted bounds are not above the key, found by halving."""
+    if not bounds:
+        return F.lit(0)
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(key < F.lit(bounds[middle]), search(low, middle)).otherwise(search(middle + 1, high))
+
+    return search(0, len(bounds))
 
 
 def numbered(df: DataFrame, order: str, *partition: str) -> DataFrame:
@@ -15,12 +30,14 @@ def numbered(df: DataFrame, order: str, *partition: str) -> DataFrame:
 
     Ranges of the order key are counted and numbered side by side, so that neither the table nor a partition that holds
     much of it is in one task. The bounds of the ranges are constants of the plan, so that counting and numbering see the
-    same ranges. NULL keys come first, NULL partitions are one partition; the order among equal keys is open.
+    same ranges; their number grows with the table. Building the result counts the table and samples its keys. NULL keys come first, NULL partitions are one partition; the order among equal keys is open.
     """
     rows = df.count()
-    seen = sorted(r[0] for r in df.select(order).where(F.col(order).isNotNull()).sample(min(1.0, SAMPLE / max(rows, 1)), 7).limit(4 * SAMPLE).collect())
-    bounds = sorted({seen[i * len(seen) // RANGES] for i in range(1, RANGES)}) if seen else []
-    at = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col("__k"))) if bounds else F.lit(0)
+    ranges = min(MOST_RANGES, max(RANGES, rows // RANGE_ROWS))
+    wanted = ranges * SAMPLE
+    seen = sorted(r[0] for r in df.select(order).where(F.col(order).isNotNull()).sample(min(1.0, wanted / max(rows, 1)), 7).limit(4 * wanted).collect())
+    bounds = sorted({seen[i * len(seen) // ranges] for i in range(1, ranges)}) if seen else []
+    at = _range_of(F.col("__k"), bounds)
     ranged = df.withColumn("__k", F.col(order)).withColumn("__p", F.when(F.col("__k").isNull(), 0).otherwise(at))
     keys = [F.col(c).alias(f"__{i}") for i, c in enumerate(partition)]
     names = [f"__{i}" for i in range(len(partition))]
@@ -56,21 +73,40 @@ def merge_new(old: DataFrame, new: DataFrame, *keys: str) -> DataFrame:
     return old.unionByName(new.join(old.select(*keys).distinct(), list(keys), "left_anti"))
 
 
+def intersection(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Distinct rows that both have."""
+    return first.intersect(second)
+
+
+def difference(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Distinct rows of the first that the second has not."""
+    return first.subtract(second)
+
+
 def unseen(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
     """Rows whose key has not been visited."""
     return df.join(seen.select(key).distinct(), key, "left_anti")
 
 
-def overlay(rows: DataFrame, edits: DataFrame, key: str, value: str) -> DataFrame:
-    """Rows with edited values where there are edits."""
-    e = edits.select(key, F.col(value).alias("__v"), F.lit(True).alias("__e"))
+def _last(changes: DataFrame, key: str, order: str | None) -> DataFrame:
+    """One row per key: the last by ``order``; without one, of differing rows the one with the greatest content."""
+    row = F.struct(*changes.columns)
+    at = F.struct(F.col(order), F.to_json(row)) if order else F.to_json(row)
+    return changes.groupBy(F.col(key).alias("__k")).agg(F.max_by(row, at).alias("__r")).select("__r.*")
+
+
+def overlay(rows: DataFrame, edits: DataFrame, key: str, value: str, order: str | None = None) -> DataFrame:
+    """Rows with edited values where there are edits; of several edits of a key the last by ``order`` counts."""
+    e = _last(edits, key, order).select(key, F.col(value).alias("__v"), F.lit(True).alias("__e"))
     return rows.join(e, key, "left").withColumn(value, F.when(F.col("__e"), F.col("__v")).otherwise(F.col(value))).select(*rows.columns)
 
 
-def upsert(rows: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """Rows replaced or added by key, columns as in ``rows``."""
-    kept = rows.join(changes.select(key), key, "left_anti")
-    return kept.select(*rows.columns).unionByName(changes.select(*rows.columns))
+def upsert(rows: DataFrame, changes: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """Rows replaced or added by key, columns as in ``rows``; of several changes of a key the last by ``order`` counts. A NULL
+    key equals no other, so such changes are one further row."""
+    last = _last(changes, key, order)
+    kept = rows.join(last.select(key), key, "left_anti")
+    return kept.select(*rows.columns).unionByName(last.select(*rows.columns))
 
 
 def incomplete(parts: DataFrame, expected: DataFrame, group: str, part: str, n: str) -> DataFrame:

@@ -12,8 +12,8 @@ from hablon.plans.workers import prepared
 
 
 def translate(df: DataFrame, factory: Callable[[], Callable[[list[str]], list[str]]], col: str = "text", out: str = "translated", batch: int = 32) -> DataFrame:
-    """``df`` with a translated column. Blank text passes through; a batch that fails is tried line by line, a line that
-    fails becomes empty."""
+    """``df`` with a translated column. Blank text passes through; a batch that fails, or gets fewer or more answers than it
+    has lines, is tried line by line, a line that fails becomes empty."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = factory()
@@ -24,12 +24,15 @@ def translate(df: DataFrame, factory: Callable[[], Callable[[list[str]], list[st
             for at in range(0, len(todo), batch):
                 part = todo[at : at + batch]
                 try:
-                    new = model([texts[i] for i in part])
+                    new = list(model([texts[i] for i in part]))
+                    if len(new) != len(part):
+                        raise ValueError("an answer per text is needed")
                 except Exception:
                     new = []
                     for i in part:
                         try:
-                            new += model([texts[i]])
+                            (one,) = model([texts[i]])
+                            new.append(one)
                         except Exception:
                             new.append("")
                 for i, t in zip(part, new):
@@ -40,6 +43,50 @@ def translate(df: DataFrame, factory: Callable[[], Callable[[list[str]], list[st
     return prepared(df).drop(out).mapInPandas(run, f"{fields}, `{out}` string")
 
 
+def remaining(df: DataFrame, done: DataFrame, order: str = "line_no") -> DataFrame:
+    """Lines that are still to be translated: those after as many as an earlier run has written. Written lines stand in
+    the order of ``df``, so their count tells where to go on."""
+    return df.where(F.col(order) > done.count())
+
+
+def fetch(urls: DataFrame, factory: Callable[[], Callable[[str], tuple[int, str, str]]], url: str = "url", delay: float = 1.0, tries: int = 4, longest: float = 300.0, wait: Callable[[float], None] | None = None) -> DataFrame:
+    """``url, status, body`` of pages, by a client that a factory makes per worker and that answers an address with its
+    status, body and the time to wait that the server asks for (or '').
+
+    Requests to one host come from one task, ``delay`` seconds apart. Status 429 is tried again after the wait asked for,
+    or after ever doubled waits, up to ``tries`` times; a client error gives status 0. Addresses are fetched once each.
+    """
+    host = F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[a-zA-Z]+://)?([^/?#]*)", 1))
+    jobs = urls.where(F.col(url).isNotNull()).select(F.col(url).alias("url")).distinct().withColumn("host", host)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import time
+
+        pause = wait or time.sleep
+        client = factory()
+        last: dict[str, float] = {}
+        for rows in batches:
+            out = []
+            for address, at in zip(rows["url"], rows["host"]):
+                back = delay
+                for attempt in range(tries):
+                    pause(max(0.0, last.get(at, 0.0) + delay - time.monotonic()))
+                    try:
+                        status, body, asked = client(address)
+                    except Exception:
+                        status, body, asked = 0, "", ""
+                    last[at] = time.monotonic()
+                    if status != 429:
+                        break
+                    back = min(longest, float(asked) if asked.strip().isdigit() else back * 2)
+                    if attempt + 1 < tries:
+                        pause(back)
+                out.append((address, status, body))
+            yield pd.DataFrame(out, columns=["url", "status", "body"])
+
+    return prepared(jobs.repartition("host")).mapInPandas(run, "url string, status int, body string")
+
+
 def annotate(df: DataFrame, factory: Callable[[], Callable[[str], str]], col: str, out: str) -> DataFrame:
     """``df`` with what a tool says of each text: a language detector, a grammar checker (as JSON), a recogniser."""
 
@@ -74,6 +121,13 @@ def grammar_issues(df: DataFrame, factory, col: str, custom: list[str], chars: i
     return done.withColumn("issues", F.filter("issues", lambda i: ~F.array_contains(known, F.lower(F.substr(F.col(col), i["start"] + 1, i["end"] - i["start"])))))
 
 
+def page_texts(pages: DataFrame) -> DataFrame:
+    """``path, text`` of recognised pages: the pages of a document in order, each under a line with its number."""
+    one = F.format_string("--- PAGE %d ---\n%s", F.col("page"), F.coalesce("text", F.lit("")))
+    whole = pages.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("page", one.alias("t")))).alias("p"))
+    return whole.select("path", F.array_join("p.t", "\n\n").alias("text"))
+
+
 def recognise_pages(files: DataFrame, factory: Callable[[], Callable[[bytes], Iterator[str]]]) -> DataFrame:
     """``path, page, text`` of documents read as binary files, one page at a time."""
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hablon.functions.text import pytrim
 from hablon.operators import prep
 from hablon.operators.extract import verses
 from hablon.operators.keyed import aligned, merge_new
@@ -13,7 +14,7 @@ from hablon.operators.keyed import aligned, merge_new
 def converted_pairs(pairs: DataFrame, keep_empty: bool = False, shuffle_seed: int | None = None, most: int | None = None) -> DataFrame:
     """Pairs read from any source: empty ones dropped, shuffled by seed, cut to a number of rows; ``line_no`` is renewed
     by the shuffle."""
-    out = pairs if keep_empty else pairs.where("trim(src) <> '' and trim(tgt) <> ''")
+    out = pairs if keep_empty else pairs.where((pytrim("src") != "") & (pytrim("tgt") != ""))
     if shuffle_seed is not None:
         out = prep.shuffled(out, shuffle_seed, "line_no").withColumn("line_no", F.col("position")).drop("position")
     return out.orderBy("line_no").limit(most) if most is not None else out

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hablon.functions.text import pytrim, squeeze, word_count
 
-BUCKETS = 256  # of the first hash digits; ranks are counted per bucket
+BUCKET_ROWS = 1_000_000  # rows of a bucket of the first hash digits; ranks are counted per bucket
 
 
 def shuffle_key(seed: int, *keys: str) -> Column:
@@ -19,9 +19,10 @@ def shuffle_key(seed: int, *keys: str) -> Column:
 
 def dense_rank_by(df: DataFrame, key: Column, name: str, *ties: str) -> DataFrame:
     """``df`` with its 1-based rank by a hexadecimal hash key: buckets of the key are counted first, so that each window
-    holds one bucket and not the table."""
-    keyed = df.withColumns({"__key": key}).withColumn("__bucket", F.substring("__key", 1, 2))
-    sums = keyed.groupBy("__bucket").agg(F.count("*").alias("__n"))  # at most BUCKETS rows
+    holds one bucket of about ``BUCKET_ROWS`` rows and not the table. Building the result counts the table once."""
+    digits = 2 if df.count() <= 256 * BUCKET_ROWS else 3  # a bucket of three digits has 2^-12 of the rows
+    keyed = df.withColumns({"__key": key}).withColumn("__bucket", F.substring("__key", 1, digits))
+    sums = keyed.groupBy("__bucket").agg(F.count("*").alias("__n"))  # at most 4,096 rows
     before = sums.select("__bucket", (F.sum("__n").over(Window.orderBy("__bucket")) - F.col("__n")).alias("__base"))
     inside = F.row_number().over(Window.partitionBy("__bucket").orderBy("__key", *ties))
     return keyed.withColumn("__r", inside).join(F.broadcast(before), "__bucket").withColumn(name, F.col("__base") + F.col("__r")).drop("__bucket", "__n", "__base", "__r", "__key")
@@ -32,6 +33,13 @@ def corpus_counts(lines: DataFrame) -> DataFrame:
     return lines.where(pytrim("text") != "").groupBy("side").agg(F.count("*").alias("lines"), F.sum(word_count("text")).alias("words"))
 
 
+def corpus_ratio(lines: DataFrame, first: str, second: str) -> DataFrame:
+    """``line_ratio, word_ratio``: lines and words of one side for each of the other; NULL if that side is empty."""
+    n = lambda side, c: F.coalesce(F.max(F.when(F.col("side") == side, F.col(c))), F.lit(0))
+    ratio = lambda c: F.try_divide(n(first, c), n(second, c))
+    return corpus_counts(lines).agg(ratio("lines").alias("line_ratio"), ratio("words").alias("word_ratio"))
+
+
 def clean_lines(lines: DataFrame) -> DataFrame:
     """White space collapsed, blank lines dropped."""
     return lines.where(F.col("text").rlike(r"(?U)\S")).withColumn("text", squeeze("text"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hablon.operators import analyze, clean, prep
+from hablon.operators import analyze, clean, pipelines, prep
 from hablon.plans.sqltext import LINES, PAIRS, WS, fold, ntok, nwords, squeeze, strip_html, tags, toks, trim  # noqa: F401
 from hablon.session import table
 
@@ -140,9 +140,25 @@ def prep_upsample(spark, sf):
     return prep.upsample(d, table(spark, sf, "test").count(), 42, "doc_id").select("draw", "doc_id")
 
 
+def _corpora(spark, sf):
+    """Two corpora of unequal size, with keys that tell their rows apart."""
+    return table(spark, sf, "bombo").select(F.col("row_id").alias("doc_id")), table(spark, sf, "documents").select("doc_id")
+
+
 def prep_balanced(spark, sf):
-    a, b = (table(spark, sf, "documents").where(F.col("lang") == c).select("doc_id", "lang") for c in ("en", "hil"))
-    return prep.concat(*prep.balance(a, b, "balanced", 42, "doc_id")).select("part", "doc_id")
+    return prep.concat(*prep.balance(*_corpora(spark, sf), "balanced", 42, "doc_id")).select("part", "doc_id")
+
+
+def prep_down_first(spark, sf):
+    return prep.concat(*prep.balance(*_corpora(spark, sf), "down_first", 42, "doc_id")).select("part", "doc_id")
+
+
+def prep_up_second(spark, sf):
+    return prep.concat(*prep.balance(*_corpora(spark, sf), "up_second", 42, "doc_id")).select("part", "doc_id")
+
+
+def prep_ratio(spark, sf):
+    return prep.corpus_ratio(sides(spark, sf), "src", "tgt")
 
 
 def prep_split(spark, sf):
@@ -156,14 +172,20 @@ def prep_concat(spark, sf):
 def prep_pipeline(spark, sf):
     """Clean, balance, concatenate and shuffle in one plan."""
     p = pairs(spark, sf)
-    a, b = (prep.clean_lines(p.select("line_no", F.col(c).alias("text"))) for c in ("src", "tgt"))
-    return prep.shuffled(prep.concat(*prep.balance(a, b, "balanced", 7, "line_no")), 7, "part", "line_no").select("part", "line_no", "position")
+    a, b = (p.select("line_no", F.col(c).alias("text")) for c in ("src", "tgt"))
+    return pipelines.prepared(a, b, "balanced", 7).select("part", "line_no", "position")
+
+
+def pipeline_converted(spark, sf):
+    """Pairs with both sides filled, shuffled and cut."""
+    return pipelines.converted_pairs(pairs(spark, sf), shuffle_seed=11, most=5000).select("line_no", "src", "tgt")
 
 
 QUERIES = (
     parallel_metrics, parallel_features, parallel_flagged, parallel_top_src, parallel_top_tgt, parallel_histogram, parallel_recommendations, parallel_report,
     parallel_samples, mono_metrics, mono_top_tokens, mono_histogram, mono_recommendations, clean_rows, clean_steps, clean_html_rows, clean_html_steps,
-    clean_modified_cells, clean_dropped, prep_counts, prep_clean_lines, prep_shuffled, prep_downsample, prep_upsample, prep_balanced, prep_split, prep_concat, prep_pipeline,
+    clean_modified_cells, clean_dropped, prep_counts, prep_clean_lines, prep_shuffled, prep_downsample, prep_upsample, prep_balanced, prep_down_first, prep_up_second, prep_ratio, prep_split, prep_concat,
+    prep_pipeline, pipeline_converted,
 )
 
 
@@ -273,6 +295,9 @@ h as (select *, greatest(0, cast(round_even(100 - ({_pen('empty', 5)} + {_pen('d
 """
 
 
+_BOTH = f"u as (select 0 as part, row_id as doc_id from bombo union all select 1, doc_id from documents), r as (select part, doc_id, {_POS(42, 'doc_id').replace('over (', 'over (partition by part ')} p, count(*) over (partition by part) n from u)"
+
+
 def oracle_sql() -> dict[str, str]:
     full = "full_pairs as (select * from pairs where src <> '' and tgt <> '')"
     report = " union all ".join(f"""select '{c}' as metric, cast("{c}" as double) as "value", "{c}" / greatest(total, 1) * 100 as pct, case when "{c}" / greatest(total, 1) * 100 > 1 then 'bad' when "{c}" > 0 then 'warn' else 'ok' end as flag from h""" for c in (*analyze.FLAGS, "pair_extra", "src_extra", "tgt_extra"))
@@ -301,7 +326,11 @@ def oracle_sql() -> dict[str, str]:
         "prep_shuffled": f"select row_id as line_no, {_POS(42, 'row_id')} as position from test",
         "prep_downsample": f"select line_no from (select row_id as line_no, {_POS(42, 'row_id')} as p from test) where p <= (select count(*) from documents)",
         "prep_upsample": f"with n as (select doc_id, {_POS(42, 'doc_id')} p from documents), d as (select r as draw, cast(('0x' || substr(md5(concat_ws(':', '42', cast(r as varchar))), 1, 8)) as bigint) % (select count(*) from documents) + 1 as p from range(1, (select count(*) from test) + 1) t(r)) select draw, doc_id from d join n using (p)",
-        "prep_balanced": f"with r as (select doc_id, lang, {_POS(42, 'doc_id').replace('over (', 'over (partition by lang ')} p, count(*) over (partition by lang) n from documents where lang in ('en', 'hil')) select case lang when 'en' then 0 else 1 end as part, doc_id from r where p <= (select min(n) from r)",
+        "prep_balanced": f"with {_BOTH} select part, doc_id from r where p <= (select min(n) from r)",
+        "prep_down_first": f"with {_BOTH} select part, doc_id from r where part = 1 or p <= (select max(n) from r where part = 1)",
+        "prep_up_second": f"with {_BOTH}, d as (select r as draw, cast(('0x' || substr(md5(concat_ws(':', '42', cast(r as varchar))), 1, 8)) as bigint) % (select count(*) from documents) + 1 as p from range(1, (select count(*) from bombo) + 1) t(r)) select 0 as part, row_id as doc_id from bombo union all select 1, doc_id from d join (select * from r where part = 1) using (p)",
+        "prep_ratio": f"with {PAIRS}, c as (select side, count(*) as lines, sum(words) as words from (select 'src' side, {nwords('src')} words, {trim('src')} x from pairs union all select 'tgt', {nwords('tgt')}, {trim('tgt')} from pairs) where x <> '' group by side) select a.lines / b.lines as line_ratio, a.words / b.words as word_ratio from c a, c b where a.side = 'src' and b.side = 'tgt'",
+        "pipeline_converted": f"with {PAIRS}, k as (select {_POS(11, 'line_no')} as n, src, tgt from pairs where {trim('src')} <> '' and {trim('tgt')} <> '') select n as line_no, src, tgt from k where n <= 5000",
         "prep_split": f"select row_id as line_no, case when {_POS(42, 'row_id')} <= ceil(count(*) over () * (1 - 0.05)) then 'train' else 'dev' end as split from test",
         "prep_concat": f"with {PAIRS}, {LINES} select 0 as part, line_no, md5(src) as h from pairs union all select 1, line_no, md5(text) from lines",
         "prep_pipeline": f"with {PAIRS}, a as (select 0 as part, line_no, {squeeze('src')} x from pairs union all select 1, line_no, {squeeze('tgt')} from pairs), b as (select part, line_no, {_POS(7, 'line_no').replace('over (', 'over (partition by part ')} p, count(*) over (partition by part) n from a where x <> ''), c as (select * from b where p <= (select min(n) from b)) select part, line_no, {_POS(7, 'part', 'line_no')} as position from c",

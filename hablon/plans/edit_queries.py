@@ -36,9 +36,9 @@ def join_numbered(spark, sf):
 
 
 def verses(spark, sf):
-    li = table(spark, sf, "lineitem")
-    key = [F.col("l_orderkey").alias("book"), F.col("l_linenumber").alias("verse")]
-    return li.where("l_linenumber <= 5").select(*key, F.col("l_linestatus").alias("text")), li.where("l_linenumber >= 2").select(*key, F.col("l_returnflag").alias("text"))
+    """Two versions keyed alike: the lines of all orders, and those of the documents of all orders."""
+    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("book"), F.col("l_linenumber").cast("int").alias("verse"), F.col("l_returnflag").alias("text"))
+    return table(spark, sf, "orders").select(F.col("o_orderkey").alias("book"), F.lit(1).alias("verse"), F.col("o_orderstatus").alias("text")), li
 
 
 def join_aligned(spark, sf):
@@ -46,8 +46,7 @@ def join_aligned(spark, sf):
 
 
 def join_merge_new(spark, sf):
-    a, b = verses(spark, sf)
-    return keyed.merge_new(a.where("verse <= 2"), b, "book", "verse")
+    return keyed.merge_new(*verses(spark, sf), "book", "verse")
 
 
 def join_overlay(spark, sf):
@@ -85,6 +84,15 @@ def edit_delete_rows(spark, sf):
     return edit.delete_rows(rows(spark, sf), CHOSEN).select("row_id", "position")
 
 
+def edit_delete_many(spark, sf):
+    gone = rows(spark, sf).where(F.length("src") % 7 == 0).select("position")
+    return edit.delete_many(rows(spark, sf), gone).select("row_id", "position")
+
+
+def edit_replace_one(spark, sf):
+    return edit.replace_one(rows(spark, sf), 3, "src", 2, 6, "<one>").select("row_id", "src")
+
+
 def edit_move_up(spark, sf):
     return edit.move_rows(rows(spark, sf), CHOSEN, True).select("row_id", "position")
 
@@ -143,7 +151,7 @@ def collection_delete(spark, sf):
 
 def collection_export(spark, sf):
     d = collections(spark, sf).where("source = 'news_pairs'")
-    return edit.export_lines(d, ["tgt", "src", "none"])
+    return edit.export(d, ["tgt", "src", "none"])
 
 
 def collection_columns(spark, sf):
@@ -193,12 +201,12 @@ def set_operations(spark, sf):
     """Intersection and difference of the texts of both sides, by distinct value."""
     p = pairs(spark, sf)
     a, b = p.select(F.lower("src").alias("t")), p.select(F.lower("tgt").alias("t"))
-    both, only = a.intersect(b), a.subtract(b)
+    both, only = keyed.intersection(a, b), keyed.difference(a, b)
     return both.select(F.lit("both").alias("kind"), "t").unionByName(only.select(F.lit("src").alias("kind"), "t")).groupBy("kind").agg(F.count("*").alias("n"))
 
 
 QUERIES = (
-    join_zip_truncate, join_zip_pad, join_numbered, join_aligned, join_merge_new, join_overlay, join_upsert, join_incomplete, edit_update_cell, edit_delete_rows,
+    join_zip_truncate, join_zip_pad, join_numbered, join_aligned, join_merge_new, join_overlay, join_upsert, join_incomplete, edit_update_cell, edit_delete_rows, edit_delete_many, edit_replace_one,
     edit_move_up, edit_move_down, edit_insert_blank, edit_append_blank, edit_page, edit_search, edit_replace_all, collection_next_position, collection_import,
     collection_row_counts, collection_delete, collection_export, collection_columns, source_json_pairs, source_json_first, source_json_invalid, source_json_props,
     source_tab_lines, source_second_column, set_operations,
@@ -213,7 +221,7 @@ _SIDES = ", ".join(f"{n} as (select file_id, row_number() over (partition by fil
 _ROWS = "r as (select row_id, coalesce(src, '') as src, coalesce(tgt, '') as tgt, row_number() over (order by row_id) - 1 as position from test)"
 _IN = "(" + ", ".join(map(str, CHOSEN)) + ")"
 _DATA = "d as (select source, row_number() over (partition by source order by row_id) - 1 as position, src, tgt from test)"
-_V = "v1 as (select l_orderkey book, l_linenumber verse, l_linestatus as text from lineitem where l_linenumber <= 5), v2 as (select l_orderkey book, l_linenumber verse, l_returnflag as text from lineitem where l_linenumber >= 2)"
+_V = "v1 as (select o_orderkey book, 1 verse, o_orderstatus as text from orders), v2 as (select l_orderkey book, cast(l_linenumber as int) verse, l_returnflag as text from lineitem)"
 
 
 def _move(up: bool) -> str:
@@ -231,12 +239,14 @@ def oracle_sql() -> dict[str, str]:
         "join_zip_pad": f"with {_SIDES} select file_id, line_no, coalesce(a.text, '') as src, coalesce(b.text, '') as tgt from a full join b using (file_id, line_no)",
         "join_numbered": "select row_id, row_number() over (order by row_id) as line_no from test",
         "join_aligned": f"with {_V} select book, verse, v1.text as src, v2.text as tgt from v1 join v2 using (book, verse)",
-        "join_merge_new": f"with {_V}, o as (select * from v1 where verse <= 2) select * from o union all select * from v2 where (book, verse) not in (select (book, verse) from o)",
+        "join_merge_new": f"with {_V} select * from v1 union all select * from v2 where not exists (select 1 from v1 where v1.book = v2.book and v1.verse = v2.verse)",
         "join_overlay": f"with {PAIRS} select line_no, case when line_no % 7 = 0 then upper(src) else src end as src, tgt from pairs",
         "join_upsert": f"with {PAIRS}, c as (select line_no + 5 as line_no, 'new' as src, tgt from pairs where line_no % 9 = 0) select * from pairs where line_no not in (select line_no from c) union all select * from c",
         "join_incomplete": "with e as (select file_id, cast(max(line_no) as bigint) n from paired_lines group by file_id), h as (select file_id, count(distinct line_no) have from paired_lines where tgt <> '' group by file_id) select file_id, n, coalesce(have, 0) as have from e left join h using (file_id) where coalesce(have, 0) < n",
         "edit_update_cell": f"with {_ROWS} select row_id, case when position = 5 then 'edited' else src end as src, tgt, position from r",
         "edit_delete_rows": f"with {_ROWS} select row_id, row_number() over (order by position) - 1 as position from r where position not in {_IN}",
+        "edit_delete_many": f"with {_ROWS} select row_id, row_number() over (order by position) - 1 as position from r where length(src) % 7 <> 0",
+        "edit_replace_one": f"with {_ROWS} select row_id, case when position = 3 then left(src, 2) || '<one>' || substr(src, 7) else src end as src from r",
         "edit_move_up": _move(True),
         "edit_move_down": _move(False),
         "edit_insert_blank": f"with {_ROWS} select row_id, case when position >= 5 then position + 1 else position end as position, src from r union all select null, 5, ''",
@@ -248,7 +258,7 @@ def oracle_sql() -> dict[str, str]:
         "collection_import": f"with {_DATA} select source, position, coalesce(src, '') as src from d union all select 'news_pairs', row_number() over (order by doc_id) - 1 + (select count(*) from d where source = 'news_pairs'), coalesce(source, '') from documents",
         "collection_row_counts": "select source, count(*) as n from test group by source union all select 'unused', 0",
         "collection_delete": f"with {_DATA}, k as (select source from d group by source having count(*) > 400) select source, position from d where source not in (select source from k)",
-        "collection_export": f"with {_DATA} select position, coalesce(tgt, '') || chr(9) || coalesce(src, '') || chr(9) as line from d where source = 'news_pairs'",
+        "collection_export": f"with {_DATA} select -1 as position, 'tgt' || chr(9) || 'src' || chr(9) || 'none' as line union all select position, coalesce(tgt, '') || chr(9) || coalesce(src, '') || chr(9) from d where source = 'news_pairs'",
         "collection_columns": f"with {_ROWS} select position, src as SRC, tgt as hil, '' as note from r",
         "source_json_pairs": f"with {PAIRS}, {ok} select line_no, s as src, t as tgt from j where n = 1 and s <> '' and t <> '' union all select line_no, s, unnest([t, upper(t)]) from j where n > 4 and s <> '' and t <> ''",
         "source_json_first": f"with {PAIRS}, {ok} select line_no, s as src, t as tgt from j where (n = 1 or n > 4) and s <> '' and t <> ''",

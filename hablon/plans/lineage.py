@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import atexit
 import gc
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _written: list[tuple[SparkSession, str]] = []
+_own: list[str] = []  # the temporary folder of this process, if it needs one
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -20,9 +22,19 @@ def shared_dir(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    own = f"file://{tempfile.mkdtemp(prefix='hablon-')}"
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    if not _own:
+        _own.append(tempfile.mkdtemp(prefix="hablon-"))
+        atexit.register(shutil.rmtree, _own[0], True)
+    return f"file://{_own[0]}"
+
+
+def scratch(spark: SparkSession) -> str:
+    """A fresh path in the shared folder, removed when the driver's Python ends."""
+    path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    if not _written:
+        atexit.register(drop_tables)
+    _written.append((spark, path))
+    return path
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -32,11 +44,8 @@ def cut(df: DataFrame) -> DataFrame:
     driver's Python ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    path = scratch(spark)
     df.write.option("compression", "zstd").parquet(path)
-    if not _written:
-        atexit.register(drop_tables)
-    _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hablon.plans import corpus_queries, edit_queries, row_queries, text_queries
+from hablon.plans import corpus_queries, edit_queries, file_queries, row_queries, text_queries
 
-MODULES = (corpus_queries, text_queries, edit_queries, row_queries)
+MODULES = (corpus_queries, text_queries, edit_queries, file_queries, row_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -3,29 +3,36 @@
 from __future__ import annotations
 
 import csv
-import re
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hablon.functions.text import pytrim
+from hablon.functions.text import entities, pytrim, strip_diacritics
 
 SRC_NAMES, TGT_NAMES = ("source", "src", "en", "input"), ("target", "tgt", "translation", "output")  # fixed values
 DELIMITERS = ",\t|;"
 
 
-def text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``line_no, text`` of a text file, blank lines kept, a byte order mark removed.
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows numbered in ``line_no`` by their file ``__f``, their block in it ``__b`` and an increasing number ``__i``.
 
     Lines are numbered by the order of file blocks: the rows of each input split are counted once, then numbered from
     the sums, so the numbers are dense without a sort of the file.
     """
-    rows = spark.read.text(path).select(F.col("value").alias("text"), F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
-    sums = rows.groupBy("f", "b").agg(F.count("*").alias("n"))  # a row per input split
-    base = sums.select("f", "b", (F.sum("n").over(Window.orderBy("f", "b")) - F.col("n")).alias("base"))
-    inside = F.row_number().over(Window.partitionBy("f", "b").orderBy("i"))
-    out = rows.withColumn("r", inside).join(F.broadcast(base), ["f", "b"])
-    return out.select((F.col("base") + F.col("r")).alias("line_no"), F.regexp_replace("text", r"^\x{FEFF}", "").alias("text"))
+    sums = rows.groupBy("__f", "__b").agg(F.count("*").alias("__n"))  # a row per input split
+    base = sums.select("__f", "__b", (F.sum("__n").over(Window.orderBy("__f", "__b")) - F.col("__n")).alias("__base"))
+    inside = F.row_number().over(Window.partitionBy("__f", "__b").orderBy("__i"))
+    out = rows.withColumn("__r", inside).join(F.broadcast(base), ["__f", "__b"])
+    return out.withColumn("line_no", F.col("__base") + F.col("__r")).drop("__f", "__b", "__i", "__r", "__base")
+
+
+def _blocks(spark: SparkSession, path: str, **options) -> DataFrame:
+    return spark.read.text(path, **options).select(F.col("value").alias("text"), F.col("_metadata.file_path").alias("__f"), F.col("_metadata.file_block_start").alias("__b"), F.monotonically_increasing_id().alias("__i"))
+
+
+def text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``line_no, text`` of a text file, blank lines kept, a byte order mark removed."""
+    return _numbered(_blocks(spark, path)).select("line_no", F.when(F.col("line_no") == 1, F.regexp_replace("text", r"^\x{FEFF}", "")).otherwise(F.col("text")).alias("text"))
 
 
 def filled_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -46,16 +53,27 @@ def _numeric(cell: str) -> bool:
     return (cell or "").lstrip("-").replace(".", "").isdigit()
 
 
+_RAGGED = "__ragged"
+
+
+def _cells(spark: SparkSession, path: str, sep: str, header: bool) -> DataFrame:
+    """``line_no`` and all cells, with the text of rows that have too few or too many of them in ``__ragged``.
+
+    A file is read in parallel by lines unless some quoted cell holds a line break.
+    """
+    lines = spark.read.text(path)
+    broken = not lines.where(F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1).isEmpty()
+    options = dict(sep=sep, header=header, quote='"', escape='"', multiLine=broken, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, mode="PERMISSIVE")
+    names = spark.read.csv(path, inferSchema=False, **options).columns
+    schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in [*names, _RAGGED])
+    df = spark.read.schema(schema).csv(path, columnNameOfCorruptRecord=_RAGGED, enforceSchema=True, **options)
+    rows = df.select("*", F.col("_metadata.file_path").alias("__f"), F.col("_metadata.file_block_start").alias("__b"), F.monotonically_increasing_id().alias("__i"))
+    return _numbered(rows).select("line_no", *[F.col(f"`{c}`") for c in df.columns])
+
+
 def table(spark: SparkSession, path: str, sep: str | None = None, header: bool = True) -> DataFrame:
     """All-string table with ``line_no`` from 1; short rows are padded, cells beyond the header cut, quotes doubled."""
-    sep = sep or ("\t" if path.endswith((".tsv", ".txt")) else ",")
-    df = spark.read.csv(path, sep=sep, header=header, quote='"', escape='"', multiLine=True, inferSchema=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, mode="PERMISSIVE")
-    df = df.fillna("")
-    part = F.spark_partition_id()
-    rows = df.select("*", part.alias("__p"), F.monotonically_increasing_id().alias("__i"))
-    base = rows.groupBy("__p").agg(F.count("*").alias("__n")).select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__b"))
-    numbered = rows.withColumn("__r", F.row_number().over(Window.partitionBy("__p").orderBy("__i"))).join(F.broadcast(base), "__p")
-    return numbered.select((F.col("__b") + F.col("__r")).alias("line_no"), *[F.col(f"`{c}`") for c in df.columns])
+    return _cells(spark, path, sep or ("\t" if path.endswith((".tsv", ".txt")) else ","), header).drop(_RAGGED).fillna("")
 
 
 def resolve_columns(columns: list[str], src: str | int | None = None, tgt: str | int | None = None) -> tuple[str, str]:
@@ -75,17 +93,24 @@ def resolve_columns(columns: list[str], src: str | int | None = None, tgt: str |
 
 
 def pairs(spark: SparkSession, path: str, src: str | int | None = None, tgt: str | int | None = None, sep: str | None = None) -> DataFrame:
-    """``line_no, src, tgt``, stripped, of a CSV or TSV file; a first row of numbers only is data."""
+    """``line_no, src, tgt``, stripped, of a CSV or TSV file; a first row of numbers only is data. A row that is too short for
+    either column has two empty texts; a file of fewer than two columns is an error."""
     sep = sep or sniff(spark, path)
-    raw = table(spark, path, sep, header=False)
-    names = [c for c in raw.columns if c != "line_no"]
+    raw = _cells(spark, path, sep, header=False)
+    names = [c for c in raw.columns if c not in ("line_no", _RAGGED)]
+    if len(names) < 2:
+        raise ValueError(f"at least two columns are needed, found {len(names)}")
     first = raw.where("line_no = 1").collect()
-    head = [first[0][c] for c in names] if first else []
+    head = [first[0][c] or "" for c in names] if first else []
     is_data = bool(head) and all(_numeric(h) for h in head)
     a, b = resolve_columns(head if head and not is_data else names, src, tgt)
     where = dict(zip(head if head and not is_data else names, names))
     body = raw if is_data else raw.where("line_no > 1").withColumn("line_no", F.col("line_no") - 1)
-    return body.select("line_no", pytrim(where[a]).alias("src"), pytrim(where[b]).alias("tgt"))
+    last = max(names.index(where[a]), names.index(where[b]))
+    bare = F.regexp_replace(_RAGGED, '"(?:[^"]|"")*"', "")
+    short = F.col(_RAGGED).isNotNull() & (F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) < last)
+    cell = lambda c: F.when(short, "").otherwise(pytrim(F.coalesce(F.col(c), F.lit(""))))
+    return body.select("line_no", cell(where[a]).alias("src"), cell(where[b]).alias("tgt"))
 
 
 def load(spark: SparkSession, path: str) -> DataFrame:
@@ -113,21 +138,29 @@ def json_records(lines: DataFrame, text: str = "text", all_targets: bool = True)
 
 
 def tmx(spark: SparkSession, path: str, src: str, tgt: str) -> DataFrame:
-    """``src, tgt`` of a translation memory; languages match by prefix up to a dash, the first unit of a language wins."""
+    """``src, tgt`` of a translation memory; languages match by prefix, the first unit of a language wins."""
     schema = "tuv array<struct<_lang:string,`_xml:lang`:string,seg:string>>"
     units = spark.read.format("xml").option("rowTag", "tu").schema(schema).load(path)
     code = lambda v: F.lower(F.coalesce(v["_lang"], v["_xml:lang"], F.lit("")))
-    one = lambda lang: pytrim(F.get(F.filter("tuv", lambda v: code(v).rlike(rf"^{re.escape(lang.lower())}(-|_|$)")), 0)["seg"])
+    one = lambda lang: pytrim(F.get(F.filter("tuv", lambda v: F.startswith(code(v), F.lit(lang.lower()))), 0)["seg"])
     return units.select(one(src).alias("src"), one(tgt).alias("tgt")).where("src <> '' and tgt <> ''")
 
 
 def moses_xml(spark: SparkSession, path: str) -> DataFrame:
-    """``line_no, text`` of the sentences of a tokenised XML file; words may be nested. Empty sentences keep their number,
-    so that two files stay aligned."""
-    whole = spark.read.text(path, wholetext=True)
-    s = whole.select(F.posexplode(F.regexp_extract_all("value", F.lit(r"(?s)(<s\b[^>]*>.*?</s>|<s\b[^>]*/>)"), 1)).alias("i", "s"))
-    words = F.regexp_extract_all("s", F.lit(r"(?s)<w\b[^>]*>([^<]*)</w>"), 1)
-    return s.select((F.col("i") + 1).alias("line_no"), F.array_join(F.filter(F.transform(words, lambda w: pytrim(w)), lambda w: w != ""), " ").alias("text"))
+    """``line_no, text`` of the sentences of a tokenised XML file that have words; words may be nested.
+
+    The file is read in parallel, cut at the ends of its sentences. Comments and CDATA sections are not expected.
+    """
+    rows = _blocks(spark, path, lineSep="</s>")
+    inside = F.regexp_extract("text", r"(?s).*<s\b(?:[^>/]|/(?!>))*>(.*)\z", 1)
+    words = F.regexp_extract_all(inside, F.lit(r"<w\b(?:[^>/]|/(?!>))*>([^<]+)"), 1)
+    return _numbered(rows.withColumn("text", pytrim(F.array_join(F.transform(words, entities), " "))).where("text <> ''")).select("line_no", "text")
+
+
+def moses_pairs(spark: SparkSession, src_path: str, tgt_path: str) -> DataFrame:
+    """``line_no, src, tgt`` of two tokenised XML files, as far as the shorter one goes."""
+    a, b = moses_xml(spark, src_path), moses_xml(spark, tgt_path)
+    return a.withColumnRenamed("text", "src").join(b.withColumnRenamed("text", "tgt"), "line_no")
 
 
 def tab_lines(lines: DataFrame, text: str = "text") -> DataFrame:
@@ -148,9 +181,33 @@ def visited(spark: SparkSession, path: str) -> DataFrame:
 
 
 def custom_words(settings: DataFrame | None, words: DataFrame) -> DataFrame:
-    """Custom dictionary words: those of the settings table if it has any, else those of the file."""
-    own = words.select(F.lower(pytrim("word")).alias("word")).where("word <> ''").distinct()
+    """Custom dictionary words: those of the settings table as they are stored if it has a list, even an empty one, else
+    those of the file in normal form."""
+    own = words.select(strip_diacritics(pytrim("word")).alias("word")).where("word <> ''").distinct()
     if settings is None:
         return own
-    stored = settings.where("key = 'custom_dict'").select(F.explode(F.from_json("value", "array<string>")).alias("word")).select(F.lower(pytrim("word")).alias("word")).distinct()
-    return own if stored.isEmpty() else stored
+    stored = settings.where("key = 'custom_dict'").select(F.from_json("value", "array<string>").alias("words")).where("words is not null")
+    return own if stored.isEmpty() else stored.select(F.explode("words").alias("word")).where("word is not null").distinct()
+
+
+_HTTP_DATE = "dd MMM yyyy HH:mm:ss z"
+
+
+def retry_after(value: Column, now: Column | None = None) -> Column:
+    """Seconds a server asks to wait: a number, or the time until a date, at least 1; 10 where neither is given."""
+    v = pytrim(value)
+    at = F.try_to_timestamp(F.regexp_replace(v, r"^[A-Za-z]+,\s*", ""), F.lit(_HTTP_DATE))
+    left = at.cast("double") - (now if now is not None else F.current_timestamp()).cast("double")
+    return F.when(v.rlike(r"\A\p{Nd}+\z"), v.cast("double")).when(at.isNotNull(), F.greatest(F.lit(1.0), left)).otherwise(F.lit(10.0))
+
+
+def contained_path(base: str, path: Column) -> Column:
+    """The path below ``base`` that a relative path stands for, without ``.`` and ``..``; NULL if it leads out of it or is
+    NULL. Links are not followed."""
+    root = "/" + "/".join(p for p in base.split("/") if p)
+    whole = F.when(F.startswith(path, F.lit("/")), path).otherwise(F.concat(F.lit(root + "/"), path))
+    none = F.array().cast("array<string>")
+    up = lambda acc: F.slice(acc, 1, F.greatest(F.lit(0), F.size(acc) - 1))
+    steps = F.aggregate(F.split(whole, "/"), none, lambda acc, p: F.when((p == "") | (p == "."), acc).when(p == "..", up(acc)).otherwise(F.concat(acc, F.array(p))))
+    out = F.concat(F.lit("/"), F.array_join(steps, "/"))
+    return F.when((out == root) | F.startswith(out, F.lit(root.rstrip("/") + "/")), out)

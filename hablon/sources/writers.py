@@ -1,21 +1,26 @@
-"""Writers of corpus files. Single ordered files are written through one task; everything else stays partitioned."""
+"""Writers of corpus files. Ordered texts are written as parts whose names sort like their rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def delimited(df: DataFrame, path: str, order: str | None = "line_no", sep: str = "\t", line_end: str = "\n", header: bool = True, single: bool = True) -> None:
-    """A table file with minimal quoting; ``\\r\\n`` line ends where asked for. The order column is not written."""
-    out = (df.orderBy(order) if order else df).drop(*([order] if order else []))
-    if single:
-        out = out.coalesce(1)
+def _ordered(df: DataFrame, order: str, single: bool) -> DataFrame:
+    """Rows in order: ranges of the order, one file each, in files whose names sort alike; or all in one task."""
+    return df.coalesce(1).sortWithinPartitions(order) if single else df.repartitionByRange(order).sortWithinPartitions(order)
+
+
+def delimited(df: DataFrame, path: str, order: str | None = "line_no", sep: str = "\t", line_end: str = "\n", header: bool = True, single: bool = False) -> None:
+    """A table with minimal quoting; ``\\r\\n`` line ends where asked for. The order column is not written. The rows of
+    the files, read in the order of their names, are in order; ``single`` asks for one file, written by one task."""
+    out = _ordered(df, order, single).drop(order) if order else df.coalesce(1) if single else df
     out.write.mode("overwrite").option("sep", sep).option("header", header).option("quote", '"').option("escape", '"').option("emptyValue", "").option("nullValue", "").option("lineSep", line_end).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
-def lines(df: DataFrame, path: str, col: str = "text", order: str = "line_no") -> None:
-    df.orderBy(order).select(F.coalesce(F.col(col), F.lit("")).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+def lines(df: DataFrame, path: str, col: str = "text", order: str = "line_no", single: bool = False) -> None:
+    """A text; NULL lines are empty. In files as ``delimited`` writes them."""
+    _ordered(df.select(order, F.coalesce(F.col(col), F.lit("")).alias("value")), order, single).select("value").write.mode("overwrite").text(path)
 
 
 def json_array(df: DataFrame, order: str, most: int = 100_000) -> str:
@@ -51,14 +56,39 @@ def aligned_splits(df: DataFrame, path: str, order: str = "position") -> None:
             lines(part.select(order, F.col(col).alias("text")), f"{path}/{name}.{col}", order=order)
 
 
+CURRENT = "CURRENT"
+
+
 def rewrite(df: DataFrame, path: str, version: str, **options) -> str:
-    """A new version of a table beside the old one, whose path is returned; a path that is being read is never replaced."""
-    target = f"{path.rstrip('/')}__{version}"
+    """A new version of a table beside the old ones, which then becomes the current one; its path is returned.
+
+    The version is named in a pointer file that is replaced by one rename after all rows are written, so a reader sees the
+    old table or the new one, and a table that is being read is never overwritten.
+    """
+    root = path.rstrip("/")
+    target = f"{root}__{version}"
     delimited(df, target, **options)
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    pointer, fresh = jvm.org.apache.hadoop.fs.Path(f"{root}/{CURRENT}"), jvm.org.apache.hadoop.fs.Path(f"{root}/{CURRENT}.{version}")
+    fs = pointer.getFileSystem(conf)
+    out = fs.create(fresh, True)
+    out.write(bytearray(target.encode()))
+    out.close()
+    fs.delete(pointer, False)
+    if not fs.rename(fresh, pointer):
+        raise OSError(f"could not name {target} the current version")
     return target
 
 
+def current(spark: SparkSession, path: str) -> str:
+    """The path of the current version of a table written by ``rewrite``."""
+    return spark.read.text(f"{path.rstrip('/')}/{CURRENT}", wholetext=True).first()[0]
+
+
 def clipboard(df: DataFrame, cols: list[str], order: str, most: int = 10_000) -> str:
-    """Selected rows as tab-separated text."""
-    rows = df.orderBy(order).limit(most).select(F.array_join(F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]), "\t").alias("v")).collect()
+    """Selected rows as tab-separated text; refuses more than ``most`` rows."""
+    rows = df.orderBy(order).limit(most + 1).select(F.array_join(F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]), "\t").alias("v")).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows; write a table instead")
     return "\n".join(r.v for r in rows)

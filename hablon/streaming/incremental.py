@@ -29,19 +29,34 @@ def new_sentences(articles: DataFrame, delay: str = "7 days") -> DataFrame:
 
 
 def _first_article(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    owner = state.get[0] if state.exists else None
-    for rows in batches:
-        if owner is None:
-            first = rows.sort_values(["ts", "url"]).iloc[0]
-            owner = first["url"]
-            state.update((owner,))
-        yield rows[rows["url"] == owner][["url", "category", "pos", "sentence"]]
-
-
-def first_article_sentences(articles: DataFrame) -> DataFrame:
-    """Sentences of the first article that has them, repeats inside that article included."""
-    s = sentence_rows(prepared(articles), "text", "url", "category", "ts")
-    return s.groupBy("sentence").applyInPandasWithState(_first_article, "url string, category string, pos int, sentence string", "owner string", "append", "NoTimeout")
+    if state.hasTimedOut:
+        state.remove()
+        return
+    rows = pd.concat(list(batches))  # the rows of one sentence in one trigger
+    if state.exists:
+        (owner,) = state.get
+    else:
+        owner = rows.sort_values(["ts", "url"]).iloc[0]["url"]
+    state.update((owner,))
+    seen = int(pd.Timestamp(rows["ts"].max()).timestamp() * 1000)
+    state.setTimeoutTimestamp(max(seen + STATE_MILLIS, state.getCurrentWatermarkMs() + 1))
+    yield rows[rows["url"] == owner][["url", "category", "pos", "sentence"]]
+
+
+STATE_MILLIS = 30 * 24 * 3600 * 1000  # how long the owner of a sentence is remembered after it was last seen, in event time
+
+
+def first_article_sentences(articles: DataFrame, delay: str = "30 days") -> DataFrame:
+    """Sentences of acceptable length and language in the first article that has them, repeats inside that article
+    included. Of articles that arrive together the earliest counts. Articles later than the delay are dropped; a sentence that is
+    not seen for ``STATE_MILLIS`` is forgotten. Articles without a time are left out."""
+    s = sentence_rows(prepared(articles).where("ts is not null").withWatermark("ts", delay), "text", "url", "category", "ts").where(marked_language(F.col("sentence")))
+    return s.groupBy("sentence").applyInPandasWithState(_first_article, "url string, category string, pos int, sentence string", "owner string", "append", "EventTimeTimeout")
+
+
+def new_lines(lines: DataFrame, last: int) -> DataFrame:
+    """Lines of a growing numbered source that an earlier run, which ended with line ``last``, has not seen."""
+    return lines.where(F.col("line_no") > last)
 
 
 def category_counts(articles: DataFrame, window: str = "1 day", delay: str = "1 hour") -> DataFrame:

@@ -1,6 +1,7 @@
 import json
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from hablon.sources import readers, writers
@@ -38,6 +39,8 @@ def test_pairs_with_sniffing_and_columns(spark, tmp_path):
     assert [tuple(r) for r in readers.pairs(spark, p).orderBy("line_no").collect()] == [(1, "c", "a;b"), (2, "e", "d")]
     assert readers.pairs(spark, p, src="2", tgt="target").where("line_no = 1").collect()[0].src == "c"
     assert readers.resolve_columns(["x", "Output", "EN"]) == ("EN", "Output")
+    short = put(tmp_path / "s.tsv", 'src\ttgt\nonly\na\t\n\t"b"\tc\n')
+    assert [tuple(r)[1:] for r in readers.pairs(spark, short, sep="\t").orderBy("line_no").collect()] == [("", ""), ("a", ""), ("", "b")]
     n = put(tmp_path / "n.tsv", "1\t2\n3\t4\n")
     assert readers.pairs(spark, n).count() == 2
 
@@ -53,9 +56,9 @@ def test_table_pads_cuts_and_round_trips(spark, tmp_path):
 
 def test_xml(spark, tmp_path):
     p = put(tmp_path / "m.tmx", '<tmx><body><tu><tuv xml:lang="EN-us"><seg> one </seg></tuv><tuv xml:lang="hil"><seg>isa</seg></tuv></tu><tu><tuv lang="enm"><seg>no</seg></tuv><tuv lang="hil"><seg>x</seg></tuv></tu></body></tmx>')
-    assert [tuple(r) for r in readers.tmx(spark, p, "en", "hil").collect()] == [("one", "isa")]
-    m = put(tmp_path / "s.xml", "<d><s id='1'><chunk><w>Ang</w></chunk><w>bata</w></s><s id='2'></s><s><w>3</w></s></d>")
-    assert [tuple(r) for r in readers.moses_xml(spark, m).orderBy("line_no").collect()] == [(1, "Ang bata"), (2, ""), (3, "3")]
+    assert [tuple(r) for r in readers.tmx(spark, p, "en", "hil").collect()] == [("one", "isa"), ("no", "x")]
+    m = put(tmp_path / "s.xml", "<d><s id='1'><chunk><w>Ang</w></chunk><w>R&amp;D</w><w/></s><s id='2'></s><s/><s><w>3</w></s></d>")
+    assert [tuple(r) for r in readers.moses_xml(spark, m).orderBy("line_no").collect()] == [(1, "Ang R&D"), (2, "3")]
 
 
 def test_json_records(spark):
@@ -79,7 +82,10 @@ def test_writers(spark, tmp_path):
     writers.labelled(df.select(F.col("line_no").alias("index"), "text").where("text is not null"), "u", "now", str(tmp_path / "r"))
     assert content(tmp_path / "r").splitlines() == ["Source: u", "Scraped: now", "Total paragraphs: 2", "", "[1] a", "[2] b"]
     assert writers.clipboard(df, ["line_no", "text"], "line_no") == "1\ta\n2\tb\n3\t"
-    assert writers.rewrite(df, str(tmp_path / "t"), "v2").endswith("t__v2")
+    with pytest.raises(ValueError):
+        writers.clipboard(df, ["text"], "line_no", most=2)
+    assert writers.rewrite(df, str(tmp_path / "t"), "v1") == writers.current(spark, str(tmp_path / "t"))
+    assert writers.rewrite(df, str(tmp_path / "t"), "v2") == writers.current(spark, str(tmp_path / "t"))
     s = spark.createDataFrame([(1, "train", "h1", "e1"), (2, "dev", "h2", "e2")], "position long, split string, hil string, en string")
     writers.aligned_splits(s, str(tmp_path / "splits"))
     assert content(tmp_path / "splits/dev.en") == "e2\n"
@@ -92,7 +98,7 @@ def test_discovery_and_settings(spark, tmp_path):
     assert [r.name for r in readers.discover(spark, str(tmp_path / "d")).collect()] == ["b.tsv", "a.tsv"]
     words = spark.createDataFrame([("Ako ",), ("",)], "word string")
     stored = spark.createDataFrame([("custom_dict", '["Ikaw"]')], "key string, value string")
-    assert [r.word for r in readers.custom_words(stored, words).collect()] == ["ikaw"]
+    assert [r.word for r in readers.custom_words(stored, words).collect()] == ["Ikaw"]
     assert [r.word for r in readers.custom_words(stored.limit(0), words).collect()] == ["ako"]
 
 

@@ -205,11 +205,19 @@ def test_extraction(spark):
     assert c(extract.verse_text, " 12 In [a] the  beginning") == "In the beginning"
     html = '<nav><p>x</p></nav><article><h1>Ti<b>t</b></h1><p>one</p><p> </p><p class="a">t<i>w</i>o</p></article><script>var t="</p>"</script>'
     df = spark.createDataFrame([(1, html)], "id long, html string")
-    assert [(r["index"], r.text) for r in extract.paragraphs(df.select("id", extract.article_html(F.col("html")).alias("html")), "html", "id").collect()] == [(1, "one"), (3, "two")]
-    assert c(extract.title, html) == "Tit"
+    assert [(r["index"], r.text) for r in extract.paragraphs(df, "html", "id").collect()] == [(1, "x"), (2, "one"), (4, "two")]
+    assert [(r.part, r.text) for r in extract.article_blocks(df, "html", "id").orderBy("part").collect()] == [(0, "Tit"), (1, "one"), (2, ""), (3, "t w o")]
+    two = "<article><p>one<br>more &amp; so&nbsp;on</p></article><p>junk</p><article><p>teaser</p></article>"
+    bare = "<header><p>a</p></header><div class='td-header-wrap x'><div><p>b</p></div></div><p>body<p>next</p><footer><p>c</p></footer>"
+    pages = spark.createDataFrame([(1, two), (2, bare), (3, None), (4, "")], "id long, html string")
+    assert [(r.id, r.part, r.text) for r in extract.article_blocks(pages, "html", "id").orderBy("id", "part").collect()] == [(1, 0, ""), (1, 1, "one more & so on"), (2, 0, ""), (2, 1, "body"), (2, 2, "next"), (3, 0, ""), (4, 0, "")]
     v = '<span data-usfm="GEN.1.1">1 In <span data-usfm="GEN.1.1">the start</span></span><span data-usfm="GEN.1.2">2 And</span>'
     got = extract.verses(spark.createDataFrame([(v,)], "h string"), "h").orderBy("verse").collect()
     assert [(r.book, r.chapter, r.verse, r.text) for r in got] == [("GEN", 1, 1, "the start"), ("GEN", 1, 2, "And")]
+    v = '<span data-usfm="GEN.1.1"><span class="label">1</span><span class="content">And <b>the</b> earth</span></span><span data-usfm="GEN.1.x">no</span>'
+    old = '<div class="verse"><span class="label">7</span><span class="content">Old <i>way</i></span></div><div class="verse"><span class="content">none</span></div>'
+    got = extract.verses(spark.createDataFrame([(v, 3), (old, 3), (None, 3)], "h string, c int"), "h", chapter="c").collect()
+    assert sorted((r.book, r.chapter, r.verse, r.text) for r in got) == [("", 3, 7, "Old way"), ("GEN", 1, 1, "And the earth")]
     links = '<h3><a href="https://x.example/a/">A</a></h3><h3><a href="https://x.example/category/b/">B</a><a href="https://y.example/c">C</a></h3><h3><a href="https://x.example/a/">A</a></h3>'
     got = extract.category_links(spark.createDataFrame([("k", 1, links)], "c string, n int, h string"), "h", "c", "n", "https://x.example", 9).collect()
     assert [(r.c, r.url) for r in got] == [("k", "https://x.example/a/")]
