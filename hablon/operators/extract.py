@@ -208,10 +208,10 @@ def verses(pages: DataFrame, html: str, *keep: str, book: str | None = None, cha
         return keyed or [(i, None, None, n, t) for i, (n, t) in enumerate(_labelled_verses(root))]
 
     extra = tuple(c for c in (book, chapter) if c is not None and c not in keep)
-    v = _per_page(pages, html, (*keep, *extra), "at int, b string, c string, verse int, raw string", rows)
+    v = _per_page(pages, html, (*keep, *extra), "__at int, __b string, __c string, verse int, __raw string", rows)
     known = lambda c, name: F.coalesce(c, F.col(name).cast("string") if name else F.lit(None), F.lit(""))
-    v = v.select(*keep, "at", known(F.col("b"), book).alias("book"), known(F.col("c"), chapter).try_cast("int").alias("chapter"), "verse", verse_text(F.col("raw")).alias("text"))
-    return v.where("text <> ''").groupBy(*keep, "book", "chapter", "verse").agg(F.max_by("text", "at").alias("text"))
+    v = v.select(*keep, "__at", known(F.col("__b"), book).alias("book"), known(F.col("__c"), chapter).try_cast("int").alias("chapter"), "verse", verse_text(F.col("__raw")).alias("text"))
+    return v.where("text <> ''").groupBy(*keep, "book", "chapter", "verse").agg(F.max_by("text", "__at").alias("text"))
 
 
 def slug(x: Column) -> Column:
