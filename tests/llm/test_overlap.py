@@ -104,6 +104,38 @@ def test_pair_whose_only_common_seed_is_hot_and_last(spark, monkeypatch):
     assert got == brute(rows) == {(2 * i, 2 * i + 1) for i in range(12)}
 
 
+def test_evenly_spread_edits_and_the_exact_mode(spark):
+    rng = random.Random(8)
+    letters = lambda n: "".join(rng.choice("bcdfhjklmnpqrstvwxyz") for _ in range(n))
+    rows = []
+    for i in range(12):
+        a, b = letters(120), letters(130)
+        step = (20, 10, 7, 5)[i % 4]
+        edited = lambda x: "".join("e" if k % step == step - 1 else c for k, c in enumerate(x))
+        rows += [(2 * i, "train", "s", a, b, 0), (2 * i + 1, "dev", "s", edited(a), edited(b), 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = {(2 * i, 2 * i + 1) for i in range(12)}
+    assert {tuple(r) for r in overlap.overlaps(df, scales=None).collect()} == want
+    fine = {tuple(r) for r in overlap.overlaps(df, scales=((8, 2),)).collect()}
+    assert {p for p in want if p[0] // 2 % 4 < 2} <= fine <= want  # up to one edit in ten letters
+
+
+def test_copies_of_one_record_are_joined_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(overlap, "COPIES", 4)
+    text = "nagkadto sila sa merkado sang aga kag nagbakal sang isda para sa panihapon sang bug os nga pamilya"
+    rows = [(i, "dev" if i % 3 == 0 else "train", "s", text if i < 30 else text + "g", text[::-1], 0) for i in range(40)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert {tuple(r) for r in overlap.overlaps(df).collect()} == brute(rows)
+    classes = sorted(tuple(r) for r in overlap.overlap_classes(df).collect())
+    assert classes == [(0, 20, 10, 6, 4, 260), (30, 6, 4, 20, 10, 104)]
+
+
+def test_collinear_chain_leaves_out_a_stray_seed():
+    seed = lambda e, t, field=0: (field << 44) | (e << 24) | (t << 4)
+    seeds = [seed(0, 90), seed(5, 5), seed(20, 20), seed(70, 72), seed(3, 3, 1), seed(9, overlap.WIDE)]
+    assert overlap.collinear(seeds) == [(0, 5, 5, 51), (0, 70, 72, 36), (1, 3, 3, 36)]
+
+
 def test_report_counts_pairs_and_coverage(spark):
     text = "nagkadto sila sa merkado sang aga kag nagbakal sang isda para sa panihapon sang bug os nga pamilya"
     rows = [(1, "train", "a", text, text[::-1], 0), (2, "train", "b", text, text[::-1], 0), (3, "dev", "b", text.upper(), text[::-1], 0), (4, "dev", "c", "lain", "iban", 0)]
