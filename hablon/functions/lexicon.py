@@ -95,11 +95,15 @@ def replace_by_join(df: DataFrame, id_col: str, text_col: str, dictionary_rows:
 def replace_phrases(x: Column | str, phrases: tuple[tuple[str, str], ...] = PHRASES) -> Column:
     """Ordered replacement ignoring case; a match that begins with a capital gets one."""
     x = F.col(x) if isinstance(x, str) else x
+    if not phrases:
+        return x
+    y = x
     for pattern, new in phrases:
         new = new.replace("\\", "\\\\").replace("$", "\\$")
-        x = F.regexp_replace(x, r"(?=\p{Lu})(?iu:" + pattern + ")", new[:1].upper() + new[1:])
-        x = F.regexp_replace(x, "(?iu:" + pattern + ")", new)
-    return x
+        y = F.regexp_replace(y, r"(?=\p{Lu})(?iu:" + pattern + ")", new[:1].upper() + new[1:])
+        y = F.regexp_replace(y, "(?iu:" + pattern + ")", new)
+    # without a match of any pattern none can arise, so one search spares all the replacements
+    return F.when(x.rlike("(?iu:" + "|".join(f"(?:{p})" for p, _ in phrases) + ")"), y).otherwise(x)
 
 
 def drop_inversion(x: Column) -> Column:
@@ -119,8 +123,10 @@ def shift_letters(x: Column, known: Column) -> Column:
         new = low
         for v in VOWELS:
             new = F.replace(new, F.lit("l" + v), F.lit("r" + v))
-        word = t.rlike(r"\A[\p{L}\p{N}_'-]+\z") & (F.length(t) >= 4)
-        return F.when(word & ~F.array_contains(known, low), _capital(new, t)).otherwise(t)
+        word = t.rlike(r"\A[\p{L}\p{N}_'-]{4,}\z")
+        out = _capital(new, t)
+        # the list of known words is searched last, and only for words that would change
+        return F.when(word & (out != t) & ~F.array_contains(known, low), out).otherwise(t)
 
     return F.array_join(F.transform(F.regexp_extract_all(x, F.lit(PARTS), 0), one), "")
 
