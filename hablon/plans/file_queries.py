@@ -353,7 +353,7 @@ def stream_first_articles(spark, sf):
     src, out, state = scratch(spark), scratch(spark), scratch(spark)
     articles = _stream(spark, sf, src)
     for _ in range(2):  # the second run finds nothing new
-        incremental.append(incremental.first_article_sentences(articles), out, state).awaitTermination(540)
+        incremental.append(incremental.first_article_sentences(articles), out, state).awaitTermination()
     return spark.read.parquet(out).select("url", "category", "sentence")
 
 

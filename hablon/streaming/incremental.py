@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,30 +29,56 @@ def new_sentences(articles: DataFrame, delay: str = "7 days") -> DataFrame:
     return s.where(marked_language(F.col("sentence"))).dropDuplicatesWithinWatermark(["sentence"])
 
 
-def _first_article(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:
-        state.remove()
-        return
-    rows = pd.concat(list(batches))  # the rows of one sentence in one trigger
-    if state.exists:
-        (owner,) = state.get
-    else:
-        owner = rows.sort_values(["ts", "url"]).iloc[0]["url"]
-    state.update((owner,))
-    seen = int(pd.Timestamp(rows["ts"].max()).timestamp() * 1000)
-    state.setTimeoutTimestamp(max(seen + STATE_MILLIS, state.getCurrentWatermarkMs() + 1))
-    yield rows[rows["url"] == owner][["url", "category", "pos", "sentence"]]
-
-
 STATE_MILLIS = 30 * 24 * 3600 * 1000  # how long the owner of a sentence is remembered after it was last seen, in event time
+BUCKETS = 2048  # groups of sentences whose owners are kept together; a checkpoint holds for one number
+
+
+def _packed(known: dict[str, tuple[str | None, int]]) -> bytes:
+    owners, until = zip(*known.values())
+    batch = pa.record_batch({"sentence": pa.array(known, pa.string()), "owner": pa.array(owners, pa.string()), "until": pa.array(until, pa.int64())})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(stored: bytes) -> dict[str, tuple[str | None, int]]:
+    columns = pa.ipc.open_stream(stored).read_all().to_pydict()
+    return dict(zip(columns["sentence"], zip(columns["owner"], columns["until"])))
+
+
+def _first_articles(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+    """The rows of one bucket of sentences in one trigger that belong to the owners of their sentences."""
+    known = _unpacked(bytes(state.get[0])) if state.exists else {}
+    now = state.getCurrentWatermarkMs()
+    seen = set()
+    if not state.hasTimedOut:
+        rows = pd.concat(list(batches), ignore_index=True)
+        first = rows.sort_values(["ts", "url"]).drop_duplicates("sentence")
+        for sentence, url in zip(first["sentence"], first["url"]):
+            known.setdefault(sentence, (url, 0))
+        last = rows.groupby("sentence")["ts"].max()
+        for sentence, ts in zip(last.index, last):
+            known[sentence] = known[sentence][0], max(int(ts.timestamp() * 1000) + STATE_MILLIS, now + 1)
+        seen.update(last.index)
+        owners = [known[s][0] for s in rows["sentence"]]
+        yield rows[[u is not None and u == owner for u, owner in zip(rows["url"], owners)]][["url", "category", "pos", "sentence"]]
+    known = {s: k for s, k in known.items() if k[1] >= now or s in seen}
+    if known:
+        state.update((_packed(known),))
+        state.setTimeoutTimestamp(max(min(t for _, t in known.values()), now + 1))
+    elif state.exists:
+        state.remove()
 
 
-def first_article_sentences(articles: DataFrame, delay: str = "30 days") -> DataFrame:
+def first_article_sentences(articles: DataFrame, delay: str = "30 days", buckets: int = BUCKETS) -> DataFrame:
     """Sentences of acceptable length and language in the first article that has them, repeats inside that article
     included. Of articles that arrive together the earliest counts. Articles later than the delay are dropped; a sentence that is
-    not seen for ``STATE_MILLIS`` is forgotten. Articles without a time are left out."""
+    not seen for ``STATE_MILLIS`` is forgotten. Articles without a time are left out. The owners of the sentences of one of
+    ``buckets`` groups are one state, because a call of Python per sentence takes milliseconds."""
     s = sentence_rows(prepared(articles).where("ts is not null").withWatermark("ts", delay), "text", "url", "category", "ts").where(marked_language(F.col("sentence")))
-    return s.groupBy("sentence").applyInPandasWithState(_first_article, "url string, category string, pos int, sentence string", "owner string", "append", "EventTimeTimeout")
+    s = s.withColumn("bucket", F.pmod(F.xxhash64("sentence"), F.lit(buckets)))
+    return s.groupBy("bucket").applyInPandasWithState(_first_articles, "url string, category string, pos int, sentence string", "known binary", "append", "EventTimeTimeout")
 
 
 def new_lines(lines: DataFrame, last: int) -> DataFrame:

@@ -123,6 +123,32 @@ def test_streams_go_on_from_their_checkpoint(spark, tmp_path):
     assert run() == 4
 
 
+@pytest.mark.parametrize("buckets", [1, 4])
+def test_owners_of_sentences_share_states(spark, tmp_path, buckets):
+    """A call of Python per sentence took hours over large inputs; what is kept and forgotten is told per sentence."""
+    src, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    other = [LONG.replace("isda", f"isda {i}") for i in range(50)]
+    got = []
+
+    def run(name, *rows):
+        articles(src, name, rows)
+        stream = incremental.append(incremental.first_article_sentences(incremental.article_stream(spark, str(src)), buckets=buckets), out, state)
+        stream.awaitTermination()
+        new = [(r.url, r.sentence) for r in spark.read.parquet(out).collect()]
+        for row in got:
+            new.remove(row)
+        got.extend(new)
+        return sorted(new), stream.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+    first, states = run("1.json", ("u2", "c", LONG, "2025-01-02T00:00:00"), ("u1", "c", " ".join([LONG, *other]), "2025-01-01T00:00:00"), ("u1", "c", LONG, "2025-01-03T00:00:00"))
+    assert first == sorted([("u1", LONG)] * 2 + [("u1", s) for s in other]) and states <= buckets
+    assert run("2.json", ("u2", "c", LONG, "2025-01-01T00:00:00"), ("u1", "c", LONG, "2025-01-04T00:00:00"), ("u3", "c", other[0], "2025-01-04T00:00:00"))[0] == [("u1", LONG)]
+    assert run("3.json", ("u4", "c", "gamay", "2025-01-20T00:00:00"), ("u5", "c", other[0], "2025-02-20T00:00:00"))[0] == []
+    # by now the sentences of the first trigger that came again are remembered, the others are forgotten
+    assert run("4.json", ("u6", "c", LONG.replace("isda", "bugas"), "2025-03-05T00:00:00"))[0] == [("u6", LONG.replace("isda", "bugas"))]
+    assert run("5.json", ("u7", "c", other[0], "2025-03-06T00:00:00"), ("u7", "c", other[1], "2025-03-06T00:00:00"))[0] == [("u7", other[1])]
+
+
 def test_stream_deduplication(spark, tmp_path):
     src = tmp_path / "in"
     articles(src, "1.json", [("u1", "c", LONG, "2025-01-01T00:00:00"), ("u1", "c", "x", "2025-01-01T00:01:00"), ("u2", "c", LONG, "2025-01-01T00:02:00")])
