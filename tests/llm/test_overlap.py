@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from hablon.llm import overlap
 
@@ -151,3 +152,12 @@ def test_winnowing_keeps_a_fingerprint_of_every_long_common_run():
         b = common + "".join(rng.choice("ijkl") for _ in range(rng.randint(0, 60)))
         w, _, h = overlap.winnow([a, b], 32, 20)
         assert set(h[w == 0]) & set(h[w == 1])
+
+
+def test_distances_are_evaluated_once(spark):
+    """A filter over a projected distance would have it evaluated in both."""
+    df = spark.createDataFrame([(1, 2, "abcd" * 9, "b" * 20, "abcd" * 9, "b" * 20, 1, 1)], "t long, e long, ea string, eb string, p string, q string, n_train long, n_eval long")
+    found = overlap._verified(df.withColumn("runs", F.expr(f"cast(array() as {overlap._RUNS})")).repartition(2))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 2  # one for each field
+    assert [tuple(r) for r in found.collect()] == [(1, 2, 56, 1, 1)]
